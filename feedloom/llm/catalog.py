@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from feedloom.llm import chat, html, licenses, media
+from feedloom.llm import chat, decontam, dedup, html, licenses, media
 
 QUERIES = {
     "op4_html_extraction": html.op4_html_extraction,
     "op5_license_scan": licenses.op5_license_scan,
     "op6_media_columns": media.op6_media_columns,
+    "op8_benchmark_decontamination": decontam.op8_benchmark_decontamination,
+    "op9_minhash_near_dedup": dedup.op9_minhash_near_dedup,
     "op10_preference_format": chat.op10_preference_format,
 }
 

@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def blocks(batch: pa.RecordBatch, column: str, rows: int = BLOCK_ROWS, size: int
     if not n:
         return
     text = batch.column(batch.schema.get_field_index(column))
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(text), 0), dtype=np.int64)
+    lengths = np.asarray(pc.fill_null(pc.binary_length(text), 0), dtype=np.int64)
     ends = np.cumsum(lengths)
     start = 0
     while start < n:
