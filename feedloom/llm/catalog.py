@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from feedloom.llm import chat, decontam, dedup, html, licenses, media, pieces, pii, quality
+from feedloom.llm import chat, decontam, dedup, html, licenses, media, pieces, pii, quality, toxicity
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_sentencepiece_sampling": pieces.op3_sentencepiece_sampling,
     "op4_html_extraction": html.op4_html_extraction,
     "op5_license_scan": licenses.op5_license_scan,
