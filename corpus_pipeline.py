@@ -1,8 +1,7 @@
 """From raw documents to sampled pieces: toxicity, near-duplicates, benchmark passages, personal data, pieces.
 
-Each stage takes (spark, docs, sf_dir) and returns what the next one reads; all but the last return the columns of documents. A stage
-keeps rows whose doc_id is null as far as its own rule says nothing else: they cannot be named as copies, leaks or places of personal data of
-another row, so that near-duplicates keeps them, and personal data is replaced by the row's own key.
+Each stage takes (spark, docs, sf_dir) and returns what the next one reads; all but the last return the columns of documents. Rows whose
+doc_id is null are judged like any other, but by near-duplicates, which keeps them as it names groups by id. Empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import decontam, dedup, pieces, pii, toxicity
-from feedloom.llm.common import table
+from feedloom.llm.common import cut, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,13 +29,13 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item go."""
-    leaks = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def hide_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in angle brackets; n_chars follows the text."""
-    hidden = pii.redact(docs, pii.find_pii(docs))
+    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()))
+    hidden = pii.redact(rows, pii.find_pii(rows, "_row"), "_row")
     return hidden.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -196,6 +196,20 @@ class Matcher:
         return [(d, i, *row) for (d, i), row in sorted(best.items())]
 
 
+def item_batches(items: DataFrame, item_col: str, text_col: str):
+    """Lists of (id, text) rows whose index has at most INDEX_KEYS keys (or one row)."""
+    batch, keys = [], 0
+    for row in items.select(item_col, text_col).toLocalIterator():
+        more = WALKS * max(1, len(row[1] or "") // 2)  # words have a letter and a blank at least
+        if batch and keys + more > INDEX_KEYS:
+            yield batch
+            batch, keys = [], 0
+        batch.append(row)
+        keys += more
+    if batch:
+        yield batch
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """A row per document and item found in it: id_col, item_col, distance, first_word, n_words, item_words.
 
@@ -224,13 +238,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_c
 
         return source.mapInArrow(run, schema)
 
-    found, batch, keys = None, [], 0
-    for row in items.select(item_col, text_col).toLocalIterator():
-        batch.append(row)
-        keys += WALKS * max(1, len(row[1] or "") // 2)  # words have a letter and a blank at least
-        if keys > INDEX_KEYS:
-            found, batch, keys = (passes(batch) if found is None else found.union(passes(batch))), [], 0
-    if batch:
+    found = None
+    for batch in item_batches(items, item_col, text_col):
         found = passes(batch) if found is None else found.union(passes(batch))
     if found is None:
         return spark.createDataFrame([], schema)
@@ -239,5 +248,22 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_c
     return found.groupBy(id_col, item_col).agg(best).select(id_col, item_col, "best.*")
 
 
+def drop_leaks(docs: DataFrame, items: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that hold no item: a pass per batch of items, without a shuffle; null ids are judged like any other."""
+    for batch in item_batches(items, item_col, text_col):
+        words = [words_of([(r[1] or "").encode()])[0] for r in batch]
+
+        def run(batches, words=words):
+            matcher = Matcher(words)
+            for whole in batches:
+                for part in blocks(whole, text_col):
+                    texts = part.column(part.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()
+                    leaky = {r[0] for r in matcher.find([t or b"" for t in texts])}
+                    yield part.filter(pa.array([i not in leaky for i in range(part.num_rows)]))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
