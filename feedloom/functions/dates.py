@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedloom.functions.binding import let
 from feedloom.functions.terms import AM_MARKERS, PM_MARKERS, RELATIVE_UNITS, SINHALA_MONTHS, TAMIL_MONTHS, literal_map
 
 LOCAL_ZONE = "+05:30"
@@ -13,6 +14,10 @@ _RELATIVE = r"(?i)\b(?:(\d{1,3})|(an?))\s+(sec|second|min|minute|hr|hour|day|wee
 
 def local_date(t: Column) -> Column:
     """Sinhala and Tamil dates at +05:30: month by name in table order, year 20xx, then time, then day; null if they are no date."""
+    return let(t, _local_date)
+
+
+def _local_date(t: Column) -> Column:
     months = SINHALA_MONTHS + TAMIL_MONTHS
     month = F.when(F.lit(False), F.lit(None).cast("int"))
     for name, number in months:
@@ -33,7 +38,10 @@ def local_date(t: Column) -> Column:
 
 def relative_date(t: Column, now: Column) -> Column:
     """'just now', 'yesterday', '5 hours ago' and the like before now; null for other texts."""
-    low = F.lower(F.trim(t))
+    return let(F.lower(F.trim(t)), lambda low: _relative_date(low, now))
+
+
+def _relative_date(low: Column, now: Column) -> Column:
     count = F.when(F.regexp_extract(low, _RELATIVE, 1) != "", F.regexp_extract(low, _RELATIVE, 1).try_cast("bigint")).otherwise(F.lit(1).cast("bigint"))
     unit = F.try_element_at(literal_map(list(RELATIVE_UNITS.items())), F.regexp_extract(low, _RELATIVE, 3))
     ago = lambda s: F.timestamp_micros(F.unix_micros(now) - s.cast("bigint") * 1_000_000)
@@ -45,25 +53,31 @@ _FORMATS = ["d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm", "d MMM yyyy", "d MMMM yyy
 
 def general_date(t: Column, naive_zone: str = LOCAL_ZONE) -> Column:
     """ISO 8601 and RFC 822 texts and the formats of _FORMATS; a text without a zone is in naive_zone."""
-    s = F.regexp_replace(F.trim(t), r"^(?i)(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
+    return let(F.regexp_replace(F.trim(t), r"^(?i)(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", ""), lambda s: _general_date(s, naive_zone))
+
+
+def _general_date(s: Column, naive_zone: str) -> Column:
     zone = r"(?i)\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})$"
     zoned = s.rlike(zone) & s.rlike(r"\d:\d")
     offset = F.when(F.upper(F.regexp_extract(s, zone, 1)).isin("Z", "UTC", "GMT"), "+00:00").otherwise(F.regexp_replace(F.regexp_extract(s, zone, 1), r"^([+-]\d{2}):?(\d{2})$", "$1:$2"))
     bare = F.when(zoned, F.regexp_replace(s, zone, "")).otherwise(s)
-    iso = F.when(bare.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?$"), F.try_to_timestamp(F.replace(bare, F.lit("T"), F.lit(" "))))
-    read = F.coalesce(iso, *(F.try_to_timestamp(bare, F.lit(f)) for f in _FORMATS))
+    read = let(bare, _read)
     return F.to_utc_timestamp(read, F.when(zoned, offset).otherwise(F.lit(naive_zone)))
 
 
+def _read(bare: Column) -> Column:
+    """A text without zone by the formats that are known."""
+    iso = F.when(bare.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?$"), F.try_to_timestamp(F.replace(bare, F.lit("T"), F.lit(" "))))
+    return F.coalesce(iso, *(F.try_to_timestamp(bare, F.lit(f)) for f in _FORMATS))
+
+
 def to_instant(t: Column, now: Column, naive_zone: str = LOCAL_ZONE) -> Column:
     """Local, relative or general date as an instant; null if it is more than 2 days ahead of now or 400 behind."""
-    read = F.coalesce(local_date(t), relative_date(t, now), general_date(t, naive_zone))
-    return in_bounds(read, now)
+    return let(t, lambda x: in_bounds(F.coalesce(local_date(x), relative_date(x, now), general_date(x, naive_zone)), now))
 
 
 def in_bounds(instant: Column, now: Column) -> Column:
-    micros = F.unix_micros(instant) - F.unix_micros(now)
-    return F.when(micros.between(-400 * 86_400_000_000, 2 * 86_400_000_000), instant)
+    return let(instant, lambda x: F.when((F.unix_micros(x) - F.unix_micros(now)).between(-400 * 86_400_000_000, 2 * 86_400_000_000), x))
 
 
 def iso(instant: Column) -> Column:

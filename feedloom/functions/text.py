@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedloom.functions.binding import let
 from feedloom.functions.terms import SHORT_MONTHS, term_map
 
 _JUNK = r"(?is)<(nav|header|footer|script|style|aside)\b[^>]*>.*?</\1\s*>"
@@ -15,6 +16,10 @@ _ENTITIES = [("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", "\
 
 def unescape(t: Column) -> Column:
     """Numeric references up to U+FFFF-and-beyond by chr(), common named ones by name, &amp; last so that nothing is read twice."""
+    return let(t, _unescape)
+
+
+def _unescape(t: Column) -> Column:
     parts = F.split(t, "&#", -1)
     number = lambda p: F.when(p.rlike("^[xX]"), F.conv(F.regexp_extract(p, r"^[xX]([0-9A-Fa-f]{1,6});", 1), 16, 10)).otherwise(F.regexp_extract(p, r"^(\d{1,7});", 1)).try_cast("int")
     good = lambda p: p.rlike(r"^(?:[xX][0-9A-Fa-f]{1,6}|\d{1,7});")
@@ -34,14 +39,21 @@ def collapse(t: Column) -> Column:
 
 def strip_markup(t: Column) -> Column:
     """Text of well-formed markup: menus, scripts, asides, share and related blocks go, tags become spaces, references are decoded."""
+    return let(t, _strip_markup)
+
+
+def _strip_markup(t: Column) -> Column:
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"(?s)<!--.*?-->", " "), _JUNK, " "), _JUNK_CLASS, " ")
     return F.when(t.rlike("[<&]"), unescape(F.regexp_replace(bare, r"(?s)<[A-Za-z/!][^>]*>", " "))).otherwise(t)
 
 
 def cut_words(t: Column, limit: int) -> Column:
     """A text of at most limit characters, cut at the last space before and marked by an ellipsis."""
-    head = F.regexp_replace(F.substring(t, 1, limit), " [^ ]*$", "")
-    return F.when(F.length(t) <= limit, t).otherwise(F.concat(F.regexp_replace(head, "[.,;:]+$", ""), F.lit("\u2026")))
+    def cut(x):
+        head = F.regexp_replace(F.substring(x, 1, limit), " [^ ]*$", "")
+        return F.when(F.length(x) <= limit, x).otherwise(F.concat(F.regexp_replace(head, "[.,;:]+$", ""), F.lit("\u2026")))
+
+    return let(t, cut)
 
 
 def clean(t: Column, limit: int = 220) -> Column:

@@ -8,6 +8,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedloom.functions.binding import let
 from feedloom.functions.terms import JUNK_PARAMS
 
 _URL = r"^([A-Za-z][A-Za-z0-9+.\-]*):(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
@@ -31,19 +32,13 @@ def query(u: Column) -> Column:
 
 def host(u: Column) -> Column:
     """Lower case, without userinfo, port and final dots."""
-    loc = F.regexp_replace(netloc(u), r"^.*@", "")
-    bare = F.when(loc.startswith("["), F.regexp_extract(loc, r"^\[([^\]]*)\]", 1)).otherwise(F.regexp_extract(loc, r"^([^:]*)", 1))
-    return F.regexp_replace(F.lower(bare), r"\.+$", "")
+    return F.regexp_replace(F.lower(F.regexp_replace(netloc(u), r"^.*@|:[^:\]]*$|[\[\]]", "")), r"\.+$", "")
 
 
 def without_www(h: Column) -> Column:
     return F.regexp_replace(h, r"^www\.", "")
 
 
-def _octets(h: Column) -> Column:
-    return F.transform(F.split(h, r"\."), lambda p: F.try_to_number(p, F.lit("999")).cast("int"))
-
-
 def _is_ipv4(h: Column) -> Column:
     return h.rlike(r"^(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]\d|\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]\d|\d)$")
 
@@ -61,7 +56,11 @@ def _public_ipv6(h: Column) -> Column:
 
 def valid(u: Column, allowed: Column | None = None) -> Column:
     """Whether a URL is http(s) without credentials, odd ports, spaces or non-public hosts; allowed: an array of hosts, exact but for www."""
-    h, loc = host(u), netloc(u)
+    return let(u, lambda x: let(host(x), lambda h: _valid(x, h, allowed)))
+
+
+def _valid(u: Column, h: Column, allowed: Column | None) -> Column:
+    loc = netloc(u)
     port = F.regexp_extract(loc, r":([^:\]@]*)$", 1)
     named = h.contains(".") & ~h.rlike(r"\.(?:localhost|local|internal)$")
     public = F.when(loc.rlike(r"^\["), _public_ipv6(h)).when(_is_ipv4(h), _public_ipv4(h)).otherwise(named)
@@ -96,10 +95,16 @@ def kept_query(q: Column) -> Column:
 
 def canonical(u: Column) -> Column:
     """The stored form of a URL, null if it is not valid: https, host in lower case, no final slashes, junk parameters or fragment."""
+    return let(u, _canonical)
+
+
+def _canonical(u: Column) -> Column:
     p = F.regexp_replace(F.regexp_replace(path(u), r";[^/]*$", ""), "/+$", "")
-    q = kept_query(query(u))
-    out = F.concat(F.lit("https://"), F.lower(netloc(u)), F.when(p == "", "/").otherwise(p), F.when(q != "", F.concat(F.lit("?"), q)).otherwise(""))
-    return F.when(valid(u), out)
+    return F.when(valid(u), let(kept_query(query(u)), lambda q: _with_query(u, p, q)))
+
+
+def _with_query(u: Column, p: Column, q: Column) -> Column:
+    return F.concat(F.lit("https://"), F.lower(netloc(u)), F.when(p == "", "/").otherwise(p), F.when(q != "", F.concat(F.lit("?"), q)).otherwise(""))
 
 
 def dedupe_key(u: Column) -> Column:
@@ -113,17 +118,16 @@ def article_id(u: Column) -> Column:
 
 def join(base: Column, ref: Column) -> Column:
     """RFC 3986 reference resolution for absolute, //host, /path, ?query, #fragment and relative references, with dot segments."""
+    return let(base, lambda b: let(ref, lambda r: _join(b, r)))
+
+
+def _join(base: Column, ref: Column) -> Column:
     root = F.concat(scheme(base), F.lit("://"), netloc(base))
     folder = F.regexp_replace(path(base), r"[^/]*$", "")
     ref_path = F.regexp_extract(ref, r"^([^?#]*)", 1)
     tail = F.regexp_extract(ref, r"^[^?#]*(.*)$", 1)
-    merged = F.when(ref_path.startswith("/"), ref_path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), ref_path))
-    steps = F.aggregate(
-        F.split(merged, "/"), F.array().cast("array<string>"),
-        lambda acc, s: F.when(s == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc)).when(s == ".", acc).otherwise(F.array_append(acc, s)),
-    )
-    ends = merged.rlike(r"(^|/)\.\.?$")
-    clean = F.concat(F.array_join(steps, "/"), F.when(ends, "/").otherwise(""))
+    whole = F.when(ref_path.startswith("/"), ref_path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), ref_path))
+    clean = let(whole, _without_dots)
     own_path = F.when(tail.startswith("?"), F.concat(root, path(base), tail)).otherwise(F.concat(root, path(base), F.when(query(base) != "", F.concat(F.lit("?"), query(base))).otherwise(""), tail))
     return (
         F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), ref).when(ref.startswith("//"), F.concat(scheme(base), F.lit(":"), ref))
@@ -131,6 +135,14 @@ def join(base: Column, ref: Column) -> Column:
     )
 
 
+def _without_dots(merged: Column) -> Column:
+    steps = F.aggregate(
+        F.split(merged, "/"), F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc)).when(s == ".", acc).otherwise(F.array_append(acc, s)),
+    )
+    return F.concat(F.array_join(steps, "/"), F.when(merged.rlike(r"(^|/)\.\.?$"), "/").otherwise(""))
+
+
 def _quote(part: Column, safe: str) -> Column:
     """Percent-encoding that leaves letters, digits, _.-~ and the safe signs."""
     sign = lambda c: F.when(c.rlike(rf"^[A-Za-z0-9_.\-~{safe}]$"), c).otherwise(F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1"))
@@ -140,8 +152,11 @@ def _quote(part: Column, safe: str) -> Column:
 
 def encode_path(u: Column) -> Column:
     """Raw spaces and brackets of path and query in percent form; triplets stay, the fragment goes."""
-    q = query(u)
-    return F.concat(scheme(u), F.lit("://"), netloc(u), _quote(path(u), "/%"), F.when(q != "", F.concat(F.lit("?"), _quote(q, "=&%"))).otherwise(""))
+    def encoded(x):
+        q = query(x)
+        return F.concat(scheme(x), F.lit("://"), netloc(x), let(path(x), lambda p: _quote(p, "/%")), F.when(q != "", F.concat(F.lit("?"), let(q, lambda y: _quote(y, "=&%")))).otherwise(""))
+
+    return let(u, encoded)
 
 
 def domain(u: Column) -> Column:
