@@ -39,6 +39,8 @@ _P_ENDS = _BLOCK - {"body", "html", "option", "legend", "caption", "td", "th", "
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
+#: A tag that the page's end cuts off; browsers drop it.
+_OPEN_END = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 
 
 class Node:
@@ -105,7 +107,7 @@ class _Tree(HTMLParser):
 
 def parse(html: str) -> Node:
     tree = _Tree()
-    tree.feed(html)
+    tree.feed(_OPEN_END.sub("", html))
     tree.close()
     return tree.root
 

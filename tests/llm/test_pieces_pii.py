@@ -1,0 +1,78 @@
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+from feedloom.llm import pieces, pii
+
+
+def test_pieces_are_lossless_and_reproducible(spark):
+    texts = ["Hello  world\n\tx ▁ é 漢字🤣 \u0001\x00", "", "  ", None, "x" * 3000 + " y", "a b", "a b", " ▁▁ ", "word " * 3000]
+    rows = spark.createDataFrame([(k if k != 6 else 5, t) for k, t in enumerate(texts)] + [(None, "null key")], "doc_id long, text string")
+    one = pieces.encode_sampled(rows.repartition(1)).collect()
+    two = pieces.encode_sampled(rows.repartition(5)).collect()
+    key = lambda r: (str(r.doc_id), str(r.pieces))
+    assert sorted(map(key, one)) == sorted(map(key, two))
+    back = {r.doc_id: r.text for r in pieces.decode_pieces(pieces.encode_sampled(rows)).collect()}
+    assert all(back[k] == t for k, t in enumerate(texts) if k != 6) and back[None] == "null key"
+    assert all(r.lossless for r in one if r.pieces is not None)
+    assert len({str(r.pieces) for r in one if r.doc_id == 5}) == 1
+    other = {r.doc_id: r.pieces for r in pieces.encode_sampled(rows, seed=2).collect()}
+    assert other[8] != next(r.pieces for r in one if r.doc_id == 8)
+    assert pieces.encode_sampled(spark.createDataFrame([], rows.schema)).collect() == []
+
+
+def test_sampling_follows_the_lattice():
+    p = pieces.Pieces()
+    ids = {t: i for i, t in enumerate(p.text)}
+
+    def paths(s):
+        if not s:
+            yield ()
+        for k in range(1, len(s) + 1):
+            if s[:k] in ids:
+                for rest in paths(s[k:]):
+                    yield (ids[s[:k]], *rest)
+
+    weight = {q: math.exp(sum(p.weight[i] for i in q)) for q in paths("▁cats")}
+    total, n = sum(weight.values()), 20000
+    found = Counter(tuple(x.tolist()) for x in pieces.sample(p, list(range(n)), [" cats"] * n))
+    assert set(found) <= set(weight) and max(abs(w / total - found[q] / n) for q, w in weight.items()) < 0.015
+
+
+def brute(text):
+    rules = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+    found = []
+    for k, rule in enumerate(rules):
+        for m in re.finditer(rule, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if [True, k == 1 and all(int(x) <= 255 for x in m.group().split(".")), 14 <= len(digits) <= 19 and pii.luhn(digits), 10 <= len(digits) <= 15][k]:
+                found.append((m.start(), k, m.end()))
+    return sorted(found)
+
+
+def test_base_spans_are_the_contract():
+    rng = random.Random(3)
+    for _ in range(4000):
+        text = "".join(rng.choice(["a", "@", ".", "b-", "1", "25", "+", " ", "-", "(", ")", "4111111111111111", "c@d.e", "é", "_%", "00255", "+1 555 010 9999"]) for _ in range(rng.randrange(1, 25)))
+        assert pii.base_spans(text) == brute(text), text
+    assert pii.base_spans("1" * 200000) == [] and pii.base_spans("a" * 200000 + "@") == []
+
+
+def test_contexts_find_unseen_identifiers(spark):
+    rng = random.Random(1)
+    rows = [(k, f"some text mail: user{k}@host{k}.example then more") for k in range(40)]
+    rows += [(100 + k, f"some text mail: handle{k:04d}x then more") for k in range(5)] + [(200, "about item 12345678 here"), (201, None), (202, ""), (None, "mail: q@r.example"), (0, rows[0][1])]
+    rng.shuffle(rows)
+    out = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = {r.doc_id: r for r in out}
+    assert len(out) == len(rows)
+    for i, text in rows:
+        base = brute(text or "")
+        assert by[i].base_sha256 == hashlib.sha256(pii.spans_text(base).encode()).hexdigest() and set(pii.spans_text(base).split(",")) <= set(by[i].spans.split(",")) | {""}
+    assert all(by[100 + k].spans == "id:16:27" for k in range(5)) and by[200].spans == "" and by[201].n_email == 0
+    docs = spark.createDataFrame([(k, t, "x") for k, t in rows if k in (1, 101, 201)], "doc_id long, text string, span_list string").drop("span_list")
+    hidden = {r.doc_id: r.text for r in pii.redact(docs, pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert hidden == {1: "some text mail: <EMAIL> then more", 101: "some text mail: <ID> then more", 201: None}
+    assert pii.find_pii(spark.createDataFrame([], "doc_id long, text string")).collect() == []
