@@ -32,6 +32,8 @@ BANDS, ROWS = 24, 4
 SIGNATURE = BANDS * ROWS
 #: Shingles of one block in the full comparison of a bucket.
 BLOCK_SHINGLES = 1 << 19
+#: Ids that are sent to every task at most (about 30 bytes each).
+BROADCAST_IDS = 4_000_000
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -210,13 +212,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     some = feats.filter("n > 0 AND id IS NOT NULL")
     classes = cut(some.groupBy("k1", "k2", "n").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands")))
 
-    rows = classes.select("id", "n", F.explode("bands").alias("bucket"))
-    full = rows.groupBy("bucket").agg(F.count("*").alias("c"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"), F.min("id").alias("least")).filter("c > 1")
+    repeated = not some.groupBy("id").count().filter("count > 1").isEmpty()
+
+    rows = classes.select("id", F.explode("bands").alias("bucket"))
+    full = rows.groupBy("bucket").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("s"), F.min("id").alias("least")).filter("c > 1")
     full = full.groupBy("c", "s", "least").agg(F.min("bucket").alias("bucket"), F.count("*").alias("weight"))
-    members = cut(rows.join(full.select("bucket", "least", "weight"), "bucket").select("bucket", "least", "weight", "id", "n"))
+    members = cut(rows.join(full.select("bucket", "least", "weight"), "bucket").select("bucket", "least", "weight", "id"))
 
-    wanted = members.select("id").distinct()
-    sets = cut(source.filter("id IS NOT NULL").join(wanted, "id", "left_semi").mapInArrow(_sets, "id long, set binary").dropDuplicates(["id"]))
+    wanted = cut(members.select("id").distinct())
+    # Ids are sent to the tasks up to a checked number; beyond it the texts are shuffled to them.
+    near = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    sets = source.filter("id IS NOT NULL").join(near, "id", "left_semi").mapInArrow(_sets, "id long, set binary")
+    sets = cut(sets.dropDuplicates(["id"]) if repeated else sets)
 
     stars = members.filter("id <> least").groupBy("id", "least").agg(F.sum("weight").alias("w"))
     stars = stars.groupBy("id").agg(F.max_by("least", F.struct("w", -F.col("least"))).alias("least")).select(F.col("id").alias("a"), F.col("least").alias("b"))
@@ -224,7 +231,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star_links = cut(pairs.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"))
     first = cut(components(star_links))
 
-    labelled = cut(members.join(first, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    labelled = cut(members.join(classes.select("id", "n"), "id").join(first, "id", "left").withColumn("component", F.coalesce("component", "id")))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("n").alias("total"))
     mixed = mixed.filter("lo < hi").select("bucket", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int").alias("parts"))
     active = labelled.join(mixed, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
@@ -240,8 +247,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = some.select("k1", "k2", "n", F.col("id")).join(classes.select("k1", "k2", "n", F.col("id").alias("rep")), ["k1", "k2", "n"])
     # Copies are linked to their class; an id that stands for several texts joins their classes.
     copies = grouped.filter("id <> rep").select("id", "rep")
-    repeated = some.groupBy("id").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi").limit(1)
-    if repeated.isEmpty():
+    if not repeated:
         tops = copies.join(whole.withColumnRenamed("id", "rep"), "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
         final = whole.join(copies.select("id"), "id", "left_anti").union(tops)
     else:
