@@ -13,7 +13,8 @@ five-word shingles (the whole sequence as one, with fewer words), as 64-bit hash
    pair of blocks is a task's work, and only links that join two components within a task leave it.
 
 Null ids stand alone: component_id null and kept true. Null, empty and blank texts have no shingles and no links.
-Repeated ids are one node and give a row each. Texts of any length are read whole.
+Repeated ids are one node and give a row each,
+also where their texts differ: such an id joins the components of all its texts. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -97,6 +98,14 @@ def superminhash(hashes: np.ndarray, owner: np.ndarray, n: int, m: int = SIGNATU
     return sig.reshape(n, m)
 
 
+def set_digests(h: np.ndarray, d: np.ndarray, n: int) -> list[np.ndarray]:
+    """Two 64-bit digests of each of n sets: sums of mixed elements, so that no order matters."""
+    sums = [np.zeros(n, np.uint64), np.zeros(n, np.uint64)]
+    np.add.at(sums[0], d, splitmix(h ^ _U(0xA5A5A5A5A5A5A5A5)))
+    np.add.at(sums[1], d, splitmix(h + _U(0x0123456789ABCDEF)))
+    return sums
+
+
 def _features(batches):
     for whole in batches:
         for batch in blocks(whole, "text"):
@@ -109,22 +118,21 @@ def _features(batches):
             key = np.broadcast_to(_BAND_SALT, (n, BANDS)).copy()
             for r in range(ROWS):
                 key = splitmix(key * _U(0x100000001B3) + bits[:, r::ROWS])
-            sums = [np.zeros(n, np.uint64), np.zeros(n, np.uint64)]
-            np.add.at(sums[0], d, splitmix(h ^ _U(0xA5A5A5A5A5A5A5A5)))
-            np.add.at(sums[1], d, splitmix(h + _U(0x0123456789ABCDEF)))
+            sums = set_digests(h, d, n)
             lists = pa.FixedSizeListArray.from_arrays(pa.array(key.reshape(-1).view(np.int64)), BANDS).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), lists], names=["id", "n", "k1", "k2", "bands"])
 
 
 def _sets(batches):
-    """(id, set) of documents: the sorted distinct shingle hashes as little-endian bytes."""
+    """(id, k1, k2, set) of documents: the set's digests and its sorted shingle hashes as little-endian bytes."""
     for whole in batches:
         for batch in blocks(whole, "text"):
             texts = [(t or b"").lower() for t in batch.column(1).cast(pa.binary()).to_pylist()]
             h, d = shingle_hashes(*word_hashes(texts))
             ends = np.cumsum(np.bincount(d, minlength=len(texts)))
             rows = [x.tobytes() for x in np.split(h, ends[:-1])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["id", "set"])
+            sums = set_digests(h, d, len(texts))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(s.view(np.int64)) for s in sums), pa.array(rows, pa.binary())], names=["id", "k1", "k2", "set"])
 
 
 def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
@@ -210,20 +218,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     feats = cut(source.mapInArrow(_features, "id long, n long, k1 long, k2 long, bands array<long>"))
     some = feats.filter("n > 0 AND id IS NOT NULL")
-    classes = cut(some.groupBy("k1", "k2", "n").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands")))
-
+    # Ids may stand for several texts: classes then have numbers of their own, and ids are put in their place at the end.
     repeated = not some.groupBy("id").count().filter("count > 1").isEmpty()
+    classes = some.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands"))
+    classes = cut(classes.withColumn("id", F.monotonically_increasing_id() if repeated else F.col("rep")))
 
     rows = classes.select("id", F.explode("bands").alias("bucket"))
     full = rows.groupBy("bucket").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("s"), F.min("id").alias("least")).filter("c > 1")
     full = full.groupBy("c", "s", "least").agg(F.min("bucket").alias("bucket"), F.count("*").alias("weight"))
     members = cut(rows.join(full.select("bucket", "least", "weight"), "bucket").select("bucket", "least", "weight", "id"))
 
-    wanted = cut(members.select("id").distinct())
+    wanted = cut(members.select("id").distinct().join(classes.select("id", "rep"), "id").select("rep").distinct() if repeated else members.select(F.col("id").alias("rep")).distinct())
     # Ids are sent to the tasks up to a checked number; beyond it the texts are shuffled to them.
     near = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    sets = source.filter("id IS NOT NULL").join(near, "id", "left_semi").mapInArrow(_sets, "id long, set binary")
-    sets = cut(sets.dropDuplicates(["id"]) if repeated else sets)
+    sets = source.filter("id IS NOT NULL").join(near, F.col("id") == F.col("rep"), "left_semi").mapInArrow(_sets, "id long, k1 long, k2 long, set binary")
+    if repeated:
+        own = classes.select("k1", "k2", F.col("rep"), F.col("id").alias("class"))
+        sets = sets.join(own, ["k1", "k2"]).filter("id = rep").select(F.col("class").alias("id"), "set").dropDuplicates(["id"])
+    sets = cut(sets.select("id", "set"))
 
     stars = members.filter("id <> least").groupBy("id", "least").agg(F.sum("weight").alias("w"))
     stars = stars.groupBy("id").agg(F.max_by("least", F.struct("w", -F.col("least"))).alias("least")).select(F.col("id").alias("a"), F.col("least").alias("b"))
@@ -243,15 +255,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = work.mapInArrow(_compare, "a long, b long")
 
     links = star_links.union(more)
-    whole = components(links)
-    grouped = some.select("k1", "k2", "n", F.col("id")).join(classes.select("k1", "k2", "n", F.col("id").alias("rep")), ["k1", "k2", "n"])
-    # Copies are linked to their class; an id that stands for several texts joins their classes.
-    copies = grouped.filter("id <> rep").select("id", "rep")
-    if not repeated:
-        tops = copies.join(whole.withColumnRenamed("id", "rep"), "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
-        final = whole.join(copies.select("id"), "id", "left_anti").union(tops)
+    # Copies are linked to their class's smallest id.
+    copies = some.select("k1", "k2", "n", "id").join(classes.select("k1", "k2", "n", "rep"), ["k1", "k2", "n"]).filter("id <> rep").select("id", "rep")
+    if repeated:
+        named = classes.select("id", "rep")
+        links = links.join(named.select(F.col("id").alias("a"), F.col("rep").alias("u")), "a").join(named.select(F.col("id").alias("b"), F.col("rep").alias("v")), "b").select("u", "v")
+        final = components(links.filter("u <> v").union(copies))
     else:
-        final = components(whole.select(F.col("id").alias("u"), F.col("component").alias("v")).union(copies))
+        whole = components(links)
+        tops = copies.join(whole.withColumnRenamed("id", "rep"), "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
+        final = whole.union(tops)
     out = feats.select("id", "n").join(final, "id", "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))

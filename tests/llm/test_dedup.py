@@ -64,6 +64,13 @@ def test_nulls_repeats_and_empty(spark):
     assert {r.component_id for r in out} == {1}
 
 
+def test_ids_with_several_texts(spark):
+    near = lambda w: " ".join([f"{w}{k}" for k in range(60)])
+    rows = [(1, near("a")), (2, near("a") + " tail"), (2, near("b")), (3, near("b") + " end"), (4, near("c")), (5, near("c")), (5, near("d")), (6, near("e"))]
+    out = dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in out) == [(1, 1), (2, 1), (2, 1), (3, 1), (4, 4), (5, 4), (5, 4), (6, 6)]
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     a = rng.integers(0, 2**63, 400).astype(np.uint64)
