@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import blocks, splitmix, table, word_hashes
+from feedloom.llm.common import blocks, table, word_hashes
 
 STEPS, WALKS, TAKEN = 12, 3, 4
 EDITS = 0.2
