@@ -74,8 +74,8 @@ def wordpress(payloads: DataFrame, registry: DataFrame, now: Column, limit: int
 def bucketed(payloads: DataFrame, registry: DataFrame, now: Column, limit: int = 40) -> DataFrame:
     """The JSON API of buckets, each a list of posts or of wrappers of posts; the first row of a URL wins."""
     wrapped = f"{_POST}, rowCount: BIGINT, postResponseDto: ARRAY<{_POST}>>>"
-    rows = _sourced(payloads, registry, "newsfirst").select("source_id", "site", "seq", F.posexplode(F.from_json("body", f"MAP<STRING, STRING>")).alias("at", "bucket", "value"))
-    flat = F.coalesce(F.from_json("value", f"STRUCT<postResponseDto: ARRAY<STRING>>")["postResponseDto"], F.from_json("value", "ARRAY<STRING>"))
+    rows = _sourced(payloads, registry, "newsfirst").select("source_id", "site", "seq", F.posexplode(F.from_json("body", "MAP<STRING, STRING>")).alias("at", "bucket", "value"))
+    flat = F.coalesce(F.from_json("value", "STRUCT<postResponseDto: ARRAY<STRING>>")["postResponseDto"], F.from_json("value", "ARRAY<STRING>"))
     entries = rows.select("source_id", "site", "seq", "at", "bucket", F.posexplode(flat).alias("k", "entry"))
     # A wrapper with a null list holds no post: the key's presence tells wrappers from posts.
     is_wrapper = F.array_contains(F.json_object_keys("entry"), "postResponseDto")
