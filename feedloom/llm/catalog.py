@@ -19,5 +19,6 @@ QUERIES = {
 
 SQL = {
     "op5_license_scan": licenses.OP5_SQL,
+    "op9_minhash_near_dedup": dedup.OP9_SQL,
     "op10_preference_format": chat.OP10_SQL,
 }
