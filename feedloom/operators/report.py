@@ -99,3 +99,35 @@ def dead(status: DataFrame, now: Column, hours: int = 48) -> DataFrame:
     """Sources without rows for over so many hours, or ever."""
     age = F.unix_micros(now) - F.unix_micros(F.try_to_timestamp("last_ok"))
     return status.filter(age.isNull() | (age > hours * 3_600_000_000))
+
+
+def lang_totals(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("lang").agg(F.count("*").alias("total"))
+
+
+def enrich_tallies(before: DataFrame, after: DataFrame) -> DataFrame:
+    """How many rows gained an image, an excerpt and a verified date; rows are matched by seq."""
+    lacks = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    old = before.select("seq", lacks("image").alias("_i"), lacks("excerpt").alias("_e"), F.col("date_estimated").alias("_d"))
+    return after.join(old, "seq").agg(F.count("*").alias("n"), F.count_if(F.col("_i") & ~lacks("image")).alias("images"), F.count_if(F.col("_e") & ~lacks("excerpt")).alias("excerpts"), F.count_if(F.col("_d") & ~F.col("date_estimated")).alias("dates"))
+
+
+def preserved(documents: DataFrame, previous: DataFrame, langs_kept: DataFrame, categories, version: str) -> DataFrame:
+    """The documents to publish (lang, category or null, document): new ones, and for kept languages those of the last snapshot.
+
+    previous has lang, category, generated and document. A kept language lists every category: one without a document gets an empty one of the snapshot's own time.
+    """
+    feeds = previous.filter("category IS NULL").join(langs_kept, "lang", "left_semi")
+    wanted = feeds.select("lang", "generated", F.explode(F.array(*map(F.lit, categories))).alias("category"))
+    old = previous.filter("category IS NOT NULL").select("lang", "category", F.col("document").alias("_old"))
+    blank = F.to_json(F.struct(F.lit(version).alias("version"), "lang", "category", "generated", F.lit(0).alias("count"), F.array().cast("array<string>").alias("articles")))
+    filled = wanted.join(old, ["lang", "category"], "left").select("lang", "category", F.coalesce("_old", blank).alias("document"))
+    return documents.select("lang", "category", "document").unionByName(feeds.select("lang", F.lit(None).cast("string").alias("category"), "document")).unionByName(filled)
+
+
+def run_report(status: DataFrame, generated: str) -> DataFrame:
+    """One JSON document: sources ok and in all, ids of sources on fallback and stale ones (sorted), and a detail per source."""
+    ids = lambda cond: F.array_sort(F.array_compact(F.collect_list(F.when(cond, F.col("source_id")))))
+    detail = F.map_from_entries(F.array_sort(F.collect_list(F.struct("source_id", F.struct("ok", "n")))))
+    got = status.agg(F.count_if(F.col("ok")).alias("sources_ok"), F.count("*").alias("sources_total"), ids(F.col("used_fallback").isNotNull()).alias("on_fallback"), ids(F.col("stale_content")).alias("stale_sources"), detail.alias("detail"))
+    return got.select(F.to_json(F.struct(F.lit(generated).alias("generated"), "*")).alias("document"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions import url as U
-from feedloom.functions.terms import ADAPTERS, literal_map
+from feedloom.functions.terms import ADAPTERS, PROBE_PATHS, literal_map
 from feedloom.functions.text import clean
 
 
@@ -131,3 +131,16 @@ def primary_endpoint(registry: DataFrame) -> Column:
 def numbered(rows: DataFrame, key: str, seq: str) -> DataFrame:
     """Positions of rows per key from 1."""
     return rows.withColumn("pos", F.row_number().over(Window.partitionBy(key).orderBy(seq)))
+
+
+def probe_paths(registry: DataFrame) -> DataFrame:
+    """Every place at which a source is probed: source_id, label, url."""
+    places = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(path).alias("path")) for label, path in PROBE_PATHS])
+    rows = registry.select(F.col("id").alias("source_id"), F.regexp_replace("site", "/+$", "").alias("base"), F.explode(places).alias("p"))
+    return rows.select("source_id", "p.label", F.concat("base", "p.path").alias("url"))
+
+
+def first_seen(history: DataFrame, current: DataFrame) -> DataFrame:
+    """current with collected_iso: the least first sight of its id in history and in itself."""
+    seen = history.select("id", "collected_iso").unionByName(current.select("id", "collected_iso")).groupBy("id").agg(F.min("collected_iso").alias("collected_iso"))
+    return current.drop("collected_iso").join(seen, "id")

@@ -486,3 +486,109 @@ def sc19_endpoint_hint(spark, sf_dir):
 @query(f"SELECT adapter, CAST(rank AS INT) AS rank FROM (SELECT unnest([{', '.join(f"'{a}'" for a in ADAPTERS)}]) AS adapter, unnest([0, 1, 2, 3, 4, 5]) AS rank)")
 def ud1_adapter_rank(spark, sf_dir):
     return spark.createDataFrame([(a,) for a in ADAPTERS], "adapter string").select("adapter", select.rank(F.col("adapter")).alias("rank"))
+
+
+# -- Registry, reports, snapshots ------------------------------------------------------------------------------------------------------
+
+_SOURCES = "src AS (SELECT 'src' || k AS id, 'https://src' || k || '.example' AS base, k FROM range(0, 20) t(k))"
+
+
+@query(f"WITH {_SOURCES} SELECT id FROM src WHERE k % 4 <> 0")
+def f1_enabled_sources(spark, sf_dir):
+    return select.enabled(_registry(spark)).select("id")
+
+
+@query("SELECT adapter, has, adapter NOT IN ('rss', 'html', 'newsfirst') OR has AS can FROM (SELECT unnest([%s]) AS adapter) a, (SELECT unnest([true, false]) AS has) b" % ", ".join(f"'{a}'" for a in ADAPTERS))
+def f2_can_try(spark, sf_dir):
+    rows = spark.createDataFrame([(a, h) for a in ADAPTERS for h in (True, False)], "adapter string, has boolean")
+    return rows.withColumn("can", select.can_try(F.col("adapter"), dict.fromkeys(("feeds", "selectors", "api"), F.col("has"))))
+
+
+@query(with_articles("SELECT seq, CASE WHEN seq % 6 = 0 THEN 'https://cdn.example/' || seq END AS image, source_id || '.example' AS source_domain FROM a WHERE seq % 5 <> 0"))
+def f3_trusted(spark, sf_dir):
+    """Every fifth row is on a foreign host; every second image is no valid URL."""
+    host = F.when(F.col("seq") % 5 == 0, F.lit("evil.example")).otherwise(F.concat("source_id", F.lit(".example")))
+    image = F.when(F.col("seq") % 6 == 0, F.concat(F.lit("https://cdn.example/"), F.col("seq").cast("string"))).otherwise(F.lit("file:///x"))
+    rows = articles(spark, sf_dir).withColumns({"url": F.concat(F.lit("https://"), host, F.lit("/a")), "image": image})
+    return select.trusted(rows, _registry(spark)).select("seq", "image", "source_domain")
+
+
+@query(with_articles("SELECT seq FROM a, clock WHERE epoch_us(now) - epoch_us(published) <= 2502000000000"))
+def f6_first_seen_fresh(spark, sf_dir):
+    age = F.unix_micros(run_ts(spark, sf_dir)) - F.unix_micros("published")
+    return articles(spark, sf_dir).filter(age <= 695 * 3_600_000_000).select("seq")
+
+
+@query(f"WITH {_SOURCES} SELECT id, CASE WHEN k % 5 = 0 THEN 'business' END AS category, 2::BIGINT AS mapped FROM src")
+def f10_valid_categories(spark, sf_dir):
+    return select.valid_categories(_registry(spark), CATEGORIES).select("id", "category", F.size("url_categories").cast("long").alias("mapped"))
+
+
+_PROBES = [("homepage", ""), ("wp-json", "/wp-json/wp/v2/posts?per_page=1"), ("feed", "/feed"), ("rss.xml", "/rss.xml"), ("rss.php", "/rss.php"), ("robots", "/robots.txt"), ("sitemap", "/sitemap.xml"), ("news-sm", "/news-sitemap.xml")]
+
+
+@query(f"WITH {_SOURCES} SELECT id AS source_id, label, base || path AS url FROM src, (VALUES {', '.join(f"('{a}', '{b}')" for a, b in _PROBES)}) p(label, path)")
+def sc20_probe_paths(spark, sf_dir):
+    return select.probe_paths(_registry(spark))
+
+
+@query(with_articles("SELECT lang, count(*) AS total FROM a GROUP BY lang"))
+def g4_lang_totals(spark, sf_dir):
+    return report.lang_totals(articles(spark, sf_dir))
+
+
+@query(with_articles("SELECT count(*) AS n, count(*) FILTER (WHERE seq % 4 = 0 AND image IS NULL) AS images, count(*) FILTER (WHERE seq % 4 = 0 AND excerpt IS NULL) AS excerpts, count(*) FILTER (WHERE seq % 4 = 0 AND date_estimated) AS dates FROM a"))
+def g8_enrich_tallies(spark, sf_dir):
+    rows = articles(spark, sf_dir).withColumn("url", F.concat(F.lit("https://a.example/"), F.col("seq").cast("string")))
+    facts = rows.filter("seq % 4 = 0").select("url", F.lit("https://a.example/i.png").alias("image"), F.lit("Page text").alias("excerpt"), F.to_timestamp(F.lit("2024-01-05T00:00:00Z")).alias("published"))
+    return report.enrich_tallies(rows, select.enrich(rows, facts))
+
+
+@query("SELECT count(*) FILTER (WHERE page_id % 3 = 0) AS unresolved FROM pages")
+def g11_unresolved_links(spark, sf_dir):
+    link = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("https://news.google.com/rss/articles/"), F.col("page_id").cast("string"))).otherwise(F.col("url"))
+    return read(spark, sf_dir, "pages").agg(F.count_if(U.is_search_link(link)).alias("unresolved"))
+
+
+@query(with_articles("SELECT seq, row_number() OVER (ORDER BY published_iso DESC, seq) AS place FROM a"))
+def o1_feed_order(spark, sf_dir):
+    """Text order of ISO times, newest first, ties by arrival: the whole order, by range partitions and counts before each."""
+    from pyspark.sql import Window
+
+    rows = articles(spark, sf_dir).select("seq", "published_iso").repartitionByRange(F.desc("published_iso"), F.asc("seq")).sortWithinPartitions(F.desc("published_iso"), F.asc("seq"))
+    rows = rows.withColumns({"part": F.spark_partition_id(), "in_part": F.monotonically_increasing_id()})
+    counts = rows.groupBy("part").agg(F.count("*").alias("n"), F.min("in_part").alias("least"))
+    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return rows.join(before, "part").select("seq", (F.col("before") + F.col("in_part") - F.col("least") + 1).alias("place"))
+
+
+@query(with_articles("SELECT o.seq, least(o.published_iso, coalesce(min(p.published_iso), o.published_iso), min(q.published_iso)) AS collected_iso FROM a o LEFT JOIN a p ON p.id = o.id AND p.seq % 2 = 0 JOIN a q ON q.id = o.id AND q.seq % 2 = 1 WHERE o.seq % 2 = 1 GROUP BY o.seq, o.published_iso"))
+def st1_first_seen(spark, sf_dir):
+    rows = articles(spark, sf_dir).withColumn("collected_iso", F.col("published_iso"))
+    return select.first_seen(rows.filter("seq % 2 = 0"), rows.filter("seq % 2 = 1")).select("seq", "collected_iso")
+
+
+@query(f"WITH {_SOURCES} SELECT count(*) AS n, string_agg(id || ' ' || base, ',' ORDER BY id) AS listed FROM src")
+def sk5_sources_document(spark, sf_dir):
+    """The public list of sources, read back from its JSON."""
+    doc = F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("id", F.regexp_replace("site", "/$", "").alias("site")))).alias("sources")))
+    back = F.from_json("document", "sources ARRAY<STRUCT<id: STRING, site: STRING>>")["sources"]
+    got = _registry(spark).agg(doc.alias("document")).withColumn("s", back)
+    return got.select(F.size("s").cast("long").alias("n"), F.array_join(F.transform("s", lambda x: F.concat(x["id"], F.lit(" "), x["site"])), ",").alias("listed"))
+
+
+@query(f"WITH {_STATUS} SELECT count(*) FILTER (WHERE n > 10) AS sources_ok, count(*) AS sources_total, coalesce(string_agg(source_id, ',' ORDER BY source_id) FILTER (WHERE n > 30), '') AS stale_sources FROM f")
+def sk6_run_report(spark, sf_dir):
+    """The run's report, read back from its JSON."""
+    status = _status(spark, sf_dir).withColumns({"used_fallback": F.lit(None).cast("string"), "stale_content": F.col("n") > 30})
+    back = F.from_json("document", "sources_ok BIGINT, sources_total BIGINT, stale_sources ARRAY<STRING>")
+    return report.run_report(status, "now").select(back.alias("r")).select("r.sources_ok", "r.sources_total", F.array_join("r.stale_sources", ",").alias("stale_sources"))
+
+
+@query("""SELECT * FROM (VALUES ('en', NULL, 'new'), ('fr', NULL, 'old'), ('fr', 'sports', 'old sports'), ('fr', 'tech', '{"version":"v1","lang":"fr","category":"tech","generated":"then","count":0,"articles":[]}')) t(lang, category, document)""")
+def sk7_preserved_documents(spark, sf_dir):
+    """English is new; French is kept from the last snapshot, which has no document for tech; nothing is kept for German."""
+    new = spark.createDataFrame([("en", None, "new")], "lang string, category string, document string")
+    old = spark.createDataFrame([("fr", None, "then", "old"), ("fr", "sports", "then", "old sports"), ("en", None, "then", "older")], "lang string, category string, generated string, document string")
+    kept = spark.createDataFrame([("fr",), ("de",)], "lang string")
+    return report.preserved(new, old, kept, ["sports", "tech"], "v1")
