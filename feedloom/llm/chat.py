@@ -2,8 +2,8 @@
 
 DataFrame functions only. Turns are put in order of (turn, role, text), so that repeated turn numbers have one order;
 a turn with no number comes first. Null roles and texts are rendered as empty strings. A turn counts as shared when role and
-text are equal. A missing side has no turns: the prompt is then empty and its completion an empty string. Rows without a
-pair key are left out of no pair: they form the pair of the null key. Very long texts are kept whole.
+text are equal. A missing side has no turns: the prompt is then empty and its completion an empty string. A row without a
+pair key is a pair of its own, so that they never meet in one group. Very long texts are kept whole.
 """
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ def preference_format(turns: DataFrame) -> DataFrame:
     A pair's turns meet by one shuffle on pair_id; a conversation's length bounds a group, however many pairs start alike.
     """
     turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    sides = turns.groupBy("pair_id").agg(
+    alone = F.when(F.col("pair_id").isNull(), F.monotonically_increasing_id())
+    sides = turns.groupBy("pair_id", alone.alias("_alone")).agg(
         F.sort_array(F.collect_list(F.when(F.col("side") == "chosen", turn))).alias("a"),
         F.sort_array(F.collect_list(F.when(F.col("side") == "rejected", turn))).alias("b"),
     )

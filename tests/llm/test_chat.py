@@ -31,8 +31,10 @@ def test_prefix_is_rendered_once(spark):
 
 def test_nulls_order_repeats_and_empty(spark):
     assert run(spark, []) == {}
-    rows = [(None, "chosen", 1, "user", None), (None, "chosen", 0, None, "a"), (None, "rejected", 1, "user", ""), (None, "rejected", 0, "", "a")]
-    assert run(spark, rows)[None][:2] == (2, "<||>\na\n<|user|>\n\n")
+    rows = [(1, "chosen", 1, "user", None), (1, "chosen", 0, None, "a"), (1, "rejected", 1, "user", ""), (1, "rejected", 0, "", "a")]
+    assert run(spark, rows)[1][:2] == (2, "<||>\na\n<|user|>\n\n")
+    out = chat.preference_format(spark.createDataFrame([(None, "chosen", 0, "user", "a"), (None, "rejected", 0, "user", "a"), (None, None, 0, "user", "a")], SCHEMA)).collect()
+    assert sorted((r.pair_id, r.prompt, r.chosen, r.rejected) for r in out) == [(None, "", "", ""), (None, "", "", show(("user", "a"))), (None, "", show(("user", "a")), "")]
     rows = [(1, "chosen", 0, "user", "b"), (1, "chosen", 0, "user", "a"), (1, "chosen", 0, "user", "a"), (1, "rejected", None, "user", "x")]
     assert run(spark, rows)[1][2] == show(("user", "a"), ("user", "a"), ("user", "b"))
 
