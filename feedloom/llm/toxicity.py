@@ -6,7 +6,7 @@ at most SPAN signs), over the norms g(n) of words of their lengths. A word's sig
 one word, so that spelled-out insults are words too.
 
 Learning, on a bounded sample of labelled rows: sentences of toxic documents are labelled by the word stems that toxic documents
-have and clean ones have not; words of those sentences that carry such a stem are positive, words of clean documents negative. LANDMARKS words span
+have and clean ones have not; words of those sentences that carry such a stem are positive, as are forms of the frequent ones with a letter put in or left out; words of clean documents are negative. LANDMARKS words span
 the Nyström features K(x, L) K(L, L)^-1/2, on which a squared-hinge SVM is fitted, with rounds of hard negatives. A sentence's score is that of its
 highest word, a document's that of its highest sentence, by a calibrated logistic.
 
@@ -38,6 +38,8 @@ SAMPLE = 2000
 LANDMARKS = 256
 DECAY, SPAN, WINDOW = 0.6, 8, 16
 STEM = 5
+#: Words with an inserted letter that a frequent positive word adds to what is learnt, and how many words do.
+VARIANTS, VARIED = 12, 60
 THRESHOLD = 0.5
 #: Words whose scores a task keeps.
 CACHE = 400_000
@@ -215,6 +217,13 @@ def _ordered(words) -> list[str]:
     return sorted(words, key=lambda w: (xxhash.xxh64_intdigest(w), w))
 
 
+def variants(word: str) -> list[str]:
+    """A word with a letter put in, and without one of its inner letters, at places and by letters of a fixed pseudo-random order."""
+    put = [word[:i] + c + word[i:] for i in range(1, len(word)) for c in "aehiknorstxyz" if c not in (word[i - 1], word[i])]
+    out = [word[:i] + word[i + 1:] for i in range(1, len(word) - 1)] if len(word) > 5 else []
+    return _ordered(put)[:VARIANTS] + _ordered(out)[:VARIANTS // 2]
+
+
 def train(texts: list[str], y: np.ndarray):
     """The model of labelled documents; see the module's text."""
     if not len(y) or not 0 < y.sum() < len(y):
@@ -260,6 +269,9 @@ def train(texts: list[str], y: np.ndarray):
     values, vectors = np.linalg.eigh(kernel(landmarks, dense).astype(float))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-4))) @ vectors.T
     counts = np.sqrt([positive[w] for w in pos])
+    # Gapped and inserted forms of the most frequent words, with as much weight in all as those words have.
+    more = {v: n / len(vs) for w, n in zip(pos[:VARIED], counts, strict=False) for vs in [variants(w)] for v in vs if v not in clean_words and v not in positive}
+    pos, counts = pos + list(more), np.concatenate([counts, list(more.values())])
     kp, kn, known, extra = kernel(pos, dense).astype(float) @ root, np.zeros((0, len(landmarks))), set(), neg
     for _ in range(3):
         kn = np.concatenate([kn, kernel(extra, dense).astype(float) @ root])

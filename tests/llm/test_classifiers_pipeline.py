@@ -51,7 +51,7 @@ def test_gaps_and_inserted_letters():
         y.append(k % 2)
     model = toxicity.train(texts, np.array(y))
     score = lambda t: float(model.probability(toxicity.Scorer(model).margins([t]))[0])
-    for bad in ("you dumbkopf", "you d.u.m.b.k.o.p.f now", "a dumbbkopf", "a d u m b k o p f b", "dumb-kopf", "DUMBKOPF!!", "buzzzwit", "b u z z w i t"):
+    for bad in ("you dumbkopf", "you d.u.m.b.k.o.p.f now", "a dumbbkopf", "a d u m b k o p f b", "dumb-kopf", "DUMBKOPF!!", "buzzzwit", "b u z z w i t", "dumbxkopf", "dumb*opf"):
         assert score(bad) > 0.5, bad
     for good in ("a stone in a nest", "", "e" * 5000, "no rest"):
         assert score(good) < 0.5, good
