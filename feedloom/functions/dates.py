@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,7 +33,7 @@ def _local_date(t: Column) -> Column:
     rest = F.regexp_replace(rest, r"(?s)^(.*?)\d{1,2}[:.]\d{2}", "$1 ")
     day = F.regexp_extract(rest, r"\b(\d{1,2})\b", 1).try_cast("int")
     low = F.lower(t)
-    any_of = lambda marks: F.array_contains(F.transform(F.array(*map(F.lit, marks)), lambda m: low.contains(m)), True)
+    any_of = lambda marks: reduce(or_, [low.contains(m) for m in marks])
     hour24 = F.when(any_of(AM_MARKERS), F.when(hour == 12, 0).otherwise(hour)).when(any_of(PM_MARKERS) & (hour < 12), hour + 12).otherwise(hour)
     made = F.try_make_timestamp(years=year.try_cast("int"), months=month.otherwise(None), days=day, hours=F.when(timed, hour24).otherwise(0), mins=F.when(timed, minute).otherwise(0), secs=F.lit(0).cast("decimal(16,6)"))
     return F.to_utc_timestamp(made, LOCAL_ZONE)
