@@ -13,6 +13,7 @@ closes nothing is passed over, and what is open at the end is closed.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -39,8 +40,7 @@ _P_ENDS = _BLOCK - {"body", "html", "option", "legend", "caption", "td", "th", "
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
-#: A tag that the page's end cuts off; browsers drop it.
-_OPEN_END = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
+_OPENS = re.compile(r"<[A-Za-z/!?]")
 
 
 class Node:
@@ -67,7 +67,7 @@ class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node(0, "", [])
-        self.open, self.count = [self.root], 1
+        self.open, self.count, self.named = [self.root], 1, Counter()
 
     def handle_starttag(self, tag, attrs):
         if tag in _P_ENDS:
@@ -79,6 +79,11 @@ class _Tree(HTMLParser):
         self.open[-1].kids.append(node)
         if tag not in _VOID:
             self.open.append(node)
+            self.named[tag] += 1
+
+    def _close(self, at):
+        self.named.subtract(n.tag for n in self.open[at:])
+        del self.open[at:]
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -86,17 +91,21 @@ class _Tree(HTMLParser):
             self.handle_endtag(tag)
 
     def _end(self, tags, scope):
+        if not any(self.named[t] for t in tags):
+            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag in tags:
-                del self.open[i:]
+                self._close(i)
                 return
             if self.open[i].tag in scope or self.open[i].tag in _KEEP:
                 return
 
     def handle_endtag(self, tag):
+        if not self.named[tag]:
+            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
-                del self.open[i:]
+                self._close(i)
                 return
             if self.open[i].tag in ("article", "main", "td", "th", "nav", "footer", "aside") and tag not in ("html", "body", "article", "main", "table", "tr", "div", "section"):
                 return
@@ -106,8 +115,10 @@ class _Tree(HTMLParser):
 
 
 def parse(html: str) -> Node:
+    # A tag or comment that the page's end cuts off is dropped, as browsers do.
+    cut_off = _OPENS.search(html, html.rfind(">") + 1)
     tree = _Tree()
-    tree.feed(_OPEN_END.sub("", html))
+    tree.feed(html[:cut_off.start()] if cut_off else html)
     tree.close()
     return tree.root
 

@@ -88,9 +88,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     known = spark.createDataFrame(registry(), "digest string, license string")
     flat = lambda c: F.trim(F.regexp_replace(c, "[ \n]+", " "))
     text = docs.select(F.col(id_col), _prepared(F.col(text_col)).alias("t"))
-    lines = text.withColumn("w", F.array(F.col("t"))).select(id_col, "t", F.explode(F.array(F.lit("document"), F.lit("paragraph"), F.lit("line"))).alias("unit"))
+    kinds = text.select(id_col, "t", F.explode(F.array(F.lit("document"), F.lit("paragraph"), F.lit("line"))).alias("unit"))
     parts = F.when(F.col("unit") == "document", F.array("t")).when(F.col("unit") == "paragraph", F.split("t", "\n *\n")).otherwise(F.split("t", "\n"))
-    units = lines.select(id_col, "unit", F.posexplode(parts).alias("unit_no", "part"), F.instr("t", "\n").alias("many"))
+    units = kinds.select(id_col, "unit", F.posexplode(parts).alias("unit_no", "part"), F.instr("t", "\n").alias("many"))
     units = units.filter((F.col("unit") == "document") | (F.col("many") > 0))
     found = units.select(id_col, "unit", F.col("unit_no").cast("long").alias("unit_no"), F.md5(flat(F.col("part")).cast("binary")).alias("digest"))
     return found.join(F.broadcast(known), "digest").select(id_col, "unit", "unit_no", "digest", "license")

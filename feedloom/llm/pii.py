@@ -33,14 +33,14 @@ MIN_CODE = 6
 SUPPORT, PRIOR, ROUNDS, ACCEPT = 5, 3.0, 3, 0.8
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # A match never ends inside of a run of digits, so that a run is tried at its first digit only.
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_CODE = re.compile(r"[^ \t-\r]*[0-9][^ \t-\r]*")
+# From a word's first character only, so that a long word without digits is read once.
+_CODE = re.compile(r"(?<![^ \t-\r])[^ \t-\r0-9]*[0-9][^ \t-\r]*")
 _LABEL = re.compile(r"([A-Za-z_]+)[:=#](?=.)")
 _TRIM = "\"'()[]{}<>.,;!?*|"
 _DROP_NON_DIGITS = {c: None for c in map(ord, " ().-+")}

@@ -45,14 +45,20 @@ THRESHOLD = 0.5
 CACHE = 400_000
 
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
-_EDGE = re.compile(r"^[^\w@$]+|\W+$")
-_SINGLE = re.compile(r"(?<!\S)(?:\w[ \t.\-_*]+){2,}\w(?!\S)")
+_FRONT = re.compile(r"[^\w@$]+")
+_SINGLE = re.compile(r"(?<!\S)(?:[^\W_][ \t.\-_*]+){2,}[^\W_](?!\S)")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
 def fold_word(word: str) -> str:
     """The letters a-z of a word: accents off, digits and signs inside of it for the letters they stand for."""
-    word = _EDGE.sub("", word.lower())
+    word = word.lower()
+    if front := _FRONT.match(word):
+        word = word[front.end():]
+    end = len(word)
+    while end and not (word[end - 1].isalnum() or word[end - 1] == "_"):
+        end -= 1
+    word = word[:end]
     if word.isascii():
         if word.isalpha():
             return word
