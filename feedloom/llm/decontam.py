@@ -5,11 +5,12 @@ a window of words: step t emits the word at a pointer and moves the pointer by b
 distance emit equal words at most steps. Sampling some of the steps gives a key that close windows share with good probability.
 
 A walk reads its window from the front, and its first STEPS steps are the same for all windows that begin at one word. One walk per
-starting word thus serves the windows of all item sizes at once. Each of WALKS repetitions has its own bits and samples TAKEN of
-the STEPS steps. On the items' side, the keys of every starting word of an item are indexed (by the number of words before it), so
-that an item is met at any of its words that is followed by a stretch with few edits: with edits on up to one word in ten, recall
-is over 0.99 by simulation (tests/llm/test_decontam.py). A key that is met names an item and where it would begin; the
-document's words there are aligned to the item exactly, with free ends, and the pair is kept when distance <= 0.2 * item words.
+starting word thus serves the windows of all item sizes at once. Each repetition has its own bits and samples TAKEN of
+the STEPS steps. On the items' side, the keys of every starting word of an item are indexed (by the number of words before it) if they
+end in the item and read several words, so that an item is met at any of its words that is followed by a short stretch without edits.
+Short items have few such stretches and get more repetitions: at the full limit of int(0.2 * words) edits, at random or evenly spread,
+recall is over 0.99 for each length by simulation (tests/llm/test_decontam.py). A key that is met names an item and where it would
+begin; the document's words there are aligned to the item exactly, with free ends, and the pair is kept when distance <= 0.2 * item words.
 
 Items shorter than STEPS words get walks of fewer steps (a class per power of two), which read inside of the item only.
 Items without words match nothing. Null and empty texts match nothing; null ids are matched and returned as they are. Repeated rows
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import blocks, table, word_hashes
 
-STEPS, WALKS, TAKEN = 12, 3, 4
+STEPS, TAKEN = 8, 4
+#: Repetitions for items of at least LONG words, and for shorter ones.
+WALKS, SHORT_WALKS, LONG = 6, 16, 14
 EDITS = 0.2
 #: Keys that one pass over the documents holds in a task's memory (about 40 bytes each).
 INDEX_KEYS = 2_000_000
@@ -84,19 +87,25 @@ def walk_keys(words: np.ndarray, walk: int, steps: int, reach: np.ndarray | None
     return keys
 
 
+def repetitions(n: int) -> int:
+    """The number of walks that an item of n words is indexed by."""
+    return WALKS if n >= LONG else SHORT_WALKS
+
+
 class Index:
     """Keys of the walks over some items, for one number of steps: a bit table to pass over most words, then sorted keys."""
 
     def __init__(self, items: list[np.ndarray], steps: int):
         self.steps, self.tables = steps, []
-        for walk in range(WALKS):
+        for walk in range(max(repetitions(len(w)) for w in items if len(w))):
             keys, item, offset = [], [], []
             for i, w in enumerate(items):
-                if len(w):
+                if len(w) and walk < repetitions(len(w)):
                     reach, read = np.empty(len(w), np.int64), np.zeros(len(w), np.int64)
                     k = walk_keys(np.concatenate([w, np.zeros(steps, np.uint32)]), walk, steps, reach, read)
-                    # Of the keys that end in the item, those of most words; the others would meet common words everywhere.
-                    inside = np.flatnonzero((reach < len(w)) & (read == read[reach < len(w)].max(initial=0)))
+                    # Of the keys that end in the item, those of several words; the others would meet common words everywhere.
+                    least = min(3 if steps == STEPS else 2, read[reach < len(w)].max(initial=0))
+                    inside = np.flatnonzero((reach < len(w)) & (read >= least))
                     keys.append(k[inside])
                     item.append(np.full(len(inside), i))
                     offset.append(inside)
@@ -200,7 +209,8 @@ def item_batches(items: DataFrame, item_col: str, text_col: str):
     """Lists of (id, text) rows whose index has at most INDEX_KEYS keys (or one row)."""
     batch, keys = [], 0
     for row in items.select(item_col, text_col).toLocalIterator():
-        more = WALKS * max(1, len(row[1] or "") // 2)  # words have a letter and a blank at least
+        n = max(1, (len(row[1] or "") + 1) // 2)  # words have a letter and a blank at least
+        more = max(WALKS * n, SHORT_WALKS * min(n, LONG - 1))
         if batch and keys + more > INDEX_KEYS:
             yield batch
             batch, keys = [], 0

@@ -88,3 +88,23 @@ def test_items_in_batches(spark, monkeypatch):
     docs = items.selectExpr("item_id + 10 AS doc_id", "concat('z ', text) AS text")
     assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, items).collect()} == {(k + 10, k) for k in range(6)}
     assert decontam.drop_leaks(docs, items).count() == 0
+
+
+def _at_the_limit(rng, w, kind):
+    k = int(0.2 * len(w))
+    if kind == "mixed":
+        return edited(rng, w, k)
+    places = rng.sample(range(len(w)), k) if kind == "random" else [(j + 1) * len(w) // (k + 1) for j in range(k)]
+    return [f"s{rng.randrange(10**6)}" if p in places else x for p, x in enumerate(w)]
+
+
+def test_recall_at_the_full_limit():
+    rng = random.Random(5)
+    fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    for n in (3, 5, 7, 10, 12, 15, 16, 20, 25, 40):
+        items = [fresh(n) for _ in range(200)]
+        matcher = decontam.Matcher([decontam.words_of([" ".join(i).encode()])[0] for i in items])
+        for kind in ("mixed", "random", "even"):
+            docs = [" ".join(fresh(20) + _at_the_limit(rng, i, kind) + fresh(20)).encode() for i in items]
+            found = {(d, i) for d, i, *_ in matcher.find(docs)}
+            assert sum((k, k) in found for k in range(200)) >= 198, (n, kind)
