@@ -445,8 +445,8 @@ def x1_merge_previous(spark, sf_dir):
 
 @query(with_merged("SELECT lang, id, n FROM (SELECT lang, id, row_number() OVER (PARTITION BY lang ORDER BY published_iso DESC, first_seq) AS n FROM m) WHERE n <= 150", _HALVES))
 def run_language_feeds(spark, sf_dir):
-    """A run in short: merge with the last snapshot, near-duplicate titles of a source within no time at all go nowhere, newest 150."""
-    merged = dedupe.drop_near_titles(dedupe.merge_by_id(_halves(spark, sf_dir)), 0)
+    """A run in short: merge with the last snapshot, one of near-duplicate titles of a source within an hour, newest 150. The SQL has no step for titles."""
+    merged = dedupe.drop_near_titles(dedupe.merge_by_id(_halves(spark, sf_dir)))
     return report.feed(merged, 150).select("lang", "id", F.col("rank").cast("long").alias("n"))
 
 

@@ -175,3 +175,25 @@ def test_selectors():
     assert [e.text() for e in root.select("#m > ul.a.b li")] == ["1", "2"]
     assert root.first("li[data-k=v]").text() == "2" and root.first("a[href^='/']").get("href") == "/x"
     assert [e.text() for e in root.select("p, a")] == ["1", "t", "u"] and root.first("div > a") is None
+
+
+def test_run_drops_near_titles(spark, tmp_path):
+    from feedloom.plans.queries import run_language_feeds
+
+    title = "The same headline " * 5
+    # (text, source, minute): all of one source and title within an hour of the newest kept one go.
+    rows = [(title + "one", "a", 0), (title + "two", "a", 50), (title + "three", "a", 100), (title + "four", "a", 110), (title + "five", "b", 105), ("Another headline", "a", 108)]
+    docs = [(k, text, "en", source, len(text)) for k, (text, source, _) in enumerate(rows)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    events = [(k, datetime(2024, 1, 1) + timedelta(minutes=minute), "click", 50.0) for k, (_, _, minute) in enumerate(rows)]
+    spark.createDataFrame(events, "event_id long, ts timestamp, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    want, last = [], {}
+    for text, source, minute in sorted(rows, key=lambda r: -r[2]):
+        key = (source, text[:80])
+        if key not in last or last[key] - minute >= 60:
+            last[key] = minute
+            want.append(hashlib.sha1(text.encode()).hexdigest()[:16])
+    assert len(want) == 4
+    found = run_language_feeds(spark, str(tmp_path)).collect()
+    assert [r.id for r in sorted(found, key=lambda r: r.n)] == want and {r.lang for r in found} == {"en"}
