@@ -5,6 +5,9 @@ distinct pages that hold a subtree; subtrees of at least MIN_PAGES pages are the
 and headings of an article are never counted as template, so that copies and quoted passages stay. Elements that are
 boilerplate by their own name, role or class (menus, forms, adverts, comments and so on) are left out on any page.
 
+On a host of at least MIN_PAGES distinct pages all else is the text, in articles or not. Where a host has too few pages to
+count, the article elements (else the main element) stand for the text, if there are any.
+
 Null and empty html give an empty text; a null url or one without a host is the host ''. Repeated pages count as one page of
 a host and are returned as often as they come. Any length of page is read whole. Broken markup never fails: an end tag that
 closes nothing is passed over, and what is open at the end is closed.
@@ -25,6 +28,9 @@ from feedloom.llm.common import cut, table
 
 #: A subtree on so many distinct pages of a host belongs to its template.
 MIN_PAGES = 8
+#: The number of a page's root; among its template subtrees it says that its host has enough pages to count.
+_COUNTED = 0
+_DEALT = 64
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead title tr ul".split())
@@ -66,7 +72,7 @@ class Node:
 class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = Node(0, "", [])
+        self.root = Node(_COUNTED, "", [])
         self.open, self.count, self.named = [self.root], 1, Counter()
 
     def handle_starttag(self, tag, attrs):
@@ -157,8 +163,8 @@ def _tops(root: Node, tag: str, gone: frozenset) -> list[Node]:
 
 
 def main_text(root: Node, gone: frozenset = frozenset()) -> str:
-    """The text of the page's articles, else of its main element, else of all, without dropped subtrees."""
-    tops = _tops(root, "article", gone) or _tops(root, "main", gone) or [root]
+    """The text without dropped subtrees: of the whole page where its host was counted, else of its articles, else of its main element, else of all."""
+    tops = [root] if _COUNTED in gone else _tops(root, "article", gone) or _tops(root, "main", gone) or [root]
     found, now = [], []
 
     def flush():
@@ -168,10 +174,9 @@ def main_text(root: Node, gone: frozenset = frozenset()) -> str:
             found.append(text)
 
     for top in tops:
-        inside = top.tag in ("article", "main")
-        stack = [top]
+        stack = [(top, False)]
         while stack:
-            item = stack.pop()
+            item, inside = stack.pop()
             if item is None:
                 flush()
             elif isinstance(item, str):
@@ -181,8 +186,9 @@ def main_text(root: Node, gone: frozenset = frozenset()) -> str:
             elif item is top or not (item.drop or item.at in gone or item.tag == "header" and not inside):
                 if item.tag in _BLOCK:
                     flush()
-                    stack.append(None)
-                stack.extend(reversed(item.kids))
+                    stack.append((None, inside))
+                inside = inside or item.tag in ("article", "main")
+                stack.extend((k, inside) for k in reversed(item.kids))
         flush()
     return "\n".join(found)
 
@@ -206,7 +212,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", min_pages: int = MIN_PAGE
                 out = ([], [], [], [])
                 part = batch.slice(at, 64)
                 for host, page, html in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    for node, h in subtrees(parse(html)):
+                    # The root is counted under a hash of its own, once a page: the pages of the host.
+                    for node, h in [(_COUNTED, 0), *subtrees(parse(html))]:
                         for column, value in zip(out, (host, page, node, h), strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64())], names=["host", "page", "node", "hash"])
@@ -215,7 +222,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", min_pages: int = MIN_PAGE
     # Distinct pages of a (host, hash): a page is one row here however often the subtree or the page itself is repeated.
     seen = nodes.groupBy("host", "hash", "page").agg(F.count("*").alias("n"))
     template = seen.groupBy("host", "hash").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages).select("host", "hash")
-    marks = nodes.join(template, ["host", "hash"], "left_semi").groupBy("page").agg(F.collect_set("node").alias("gone"))
+    # A host's roots are one key, which is dealt to _DEALT parts.
+    dealt = nodes.withColumn("part", F.when(F.col("node") == _COUNTED, F.pmod("page", F.lit(_DEALT)).cast("int")).otherwise(0))
+    template = template.withColumn("part", F.explode(F.when(F.col("hash") == 0, F.sequence(F.lit(0), F.lit(_DEALT - 1))).otherwise(F.array(F.lit(0)))))
+    marks = dealt.join(template, ["host", "hash", "part"], "left_semi").groupBy("page").agg(F.collect_set("node").alias("gone"))
 
     def text_of(batches):
         for batch in batches:

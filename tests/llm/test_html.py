@@ -34,3 +34,12 @@ def test_templates_are_counted_per_host(spark):
     assert by[300] == "" and by[301] == "one" and by[302] == "copy"
     assert all(r.n_chars == len(r.text) for r in out)
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_text_outside_of_articles_is_judged_by_the_counts(spark):
+    page = "<body><div class='strap'>Strap line</div><article><div>Box of the site</div><p>Own {0}</p></article><div class='more'><header>Top</header><p>Second part {0}</p></div></body>"
+    rows = [(k, "https://h.example/", page.format(k)) for k in range(9)] + [(100 + k, "https://few.example/", page.format(k)) for k in range(7)]
+    rows += [(200, "https://h.example/", "<main><p>m</p></main><p>o</p>")]
+    by = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert by[3] == "Own 3\nSecond part 3" and by[200] == "m\no"
+    assert by[103] == "Box of the site\nOwn 3"
