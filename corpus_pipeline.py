@@ -13,6 +13,10 @@ from feedloom.llm import decontam, dedup, pieces, pii, toxicity
 from feedloom.llm.common import cut, table
 
 
+#: Documents are near-duplicates from this similarity of their five-word shingles on, in hundredths.
+NEAR = 80
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go; the model is fitted on the labelled documents of sf_dir."""
     model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -22,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one of the smallest id, once."""
-    kept = dedup.near_duplicates(docs).filter("kept").select("doc_id")
+    kept = dedup.near_duplicates(docs, threshold=NEAR).filter("kept").select("doc_id")
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
 

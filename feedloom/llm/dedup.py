@@ -2,10 +2,10 @@
 
 Words are runs of characters other than space and 9 to 13, with A-Z in lower case. A document's set holds its distinct
 five-word shingles (the whole sequence as one, with fewer words), as 64-bit hashes. Two documents are linked when
-100 * |intersection| >= 85 * |union|.
+100 * |intersection| >= threshold * |union|; 85 unless given.
 
 1. A pass over the texts makes a row per document: set size, two digests of the set and the keys of 24 bands of 4 signature
-   values. At similarity 0.85 all bands miss a pair with probability 2e-8.
+   values. At similarity 0.85 all bands miss a pair with probability 2e-8, at 0.8 with 3e-6.
 2. Documents of equal sets are one class (a partial aggregate, so that any number of copies costs a row per task).
 3. Buckets of two classes or more are kept; buckets of equal members are one.
 4. Each class is verified against the smallest class it shares most buckets with; components follow.
@@ -145,7 +145,7 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     return 100 * inter >= threshold * (len(a) + len(b) - inter)
 
 
-def _verify(batches):
+def _verify(batches, threshold: int):
     """(a, b, set_a, set_b) in, linked (a, b) out."""
     last, set_b = None, None
     for batch in batches:
@@ -154,7 +154,7 @@ def _verify(batches):
         for i in range(batch.num_rows):
             if b[i].as_py() != last:
                 last, set_b = b[i].as_py(), np.frombuffer(y[i].as_buffer(), np.uint64)
-            keep.append(linked(np.frombuffer(x[i].as_buffer(), np.uint64), set_b))
+            keep.append(linked(np.frombuffer(x[i].as_buffer(), np.uint64), set_b, threshold))
         yield pa.RecordBatch.from_arrays([a.filter(pa.array(keep)), b.filter(pa.array(keep))], names=["a", "b"])
 
 
@@ -189,13 +189,13 @@ def block_links(ids: np.ndarray, comp: np.ndarray, side: np.ndarray, sets: list[
     return found
 
 
-def _compare(batches):
+def _compare(batches, threshold: int):
     """Rows sorted by (bucket, pair of blocks); a group is compared when its last row has come."""
     key, rows = None, []
 
     def done():
         ids, comp, side = (np.array([r[i] for r in rows], np.int64) for i in range(3))
-        return block_links(ids, comp, side, [r[3] for r in rows]) if len(rows) > 1 else []
+        return block_links(ids, comp, side, [r[3] for r in rows], threshold) if len(rows) > 1 else []
 
     def out(links):
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
@@ -213,8 +213,8 @@ def _compare(batches):
     yield out(done())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per document: id_col, n_shingles, component_id (smallest id reachable) and kept."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """A row per document: id_col, n_shingles, component_id (smallest id reachable) and kept; threshold is in hundredths of similarity."""
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     feats = cut(source.mapInArrow(_features, "id long, n long, k1 long, k2 long, bands array<long>"))
     some = feats.filter("n > 0 AND id IS NOT NULL")
@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = members.filter("id <> least").groupBy("id", "least").agg(F.sum("weight").alias("w"))
     stars = stars.groupBy("id").agg(F.max_by("least", F.struct("w", -F.col("least"))).alias("least")).select(F.col("id").alias("a"), F.col("least").alias("b"))
     pairs = stars.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
-    star_links = cut(pairs.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"))
+    star_links = cut(pairs.select("a", "b", "x", "y").mapInArrow(lambda batches: _verify(batches, threshold), "a long, b long"))
     first = cut(components(star_links))
 
     labelled = cut(members.join(classes.select("id", "n"), "id").join(first, "id", "left").withColumn("component", F.coalesce("component", "id")))
@@ -252,7 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     meets = meets.select("bucket", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "component", F.when(F.col("part") > F.col("other"), 1).otherwise(0).alias("side"))
     work = meets.join(sets, "id")
     work = work.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "id")
-    more = work.mapInArrow(_compare, "a long, b long")
+    more = work.mapInArrow(lambda batches: _compare(batches, threshold), "a long, b long")
 
     links = star_links.union(more)
     # Copies are linked to their class's smallest id.
@@ -271,7 +271,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), threshold=THRESHOLD)
 
 
 #: Exact, by comparing the shingles of all pairs: for small tables only.

@@ -112,3 +112,14 @@ def test_components(spark):
     out = components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()
     assert {r.id: r.component for r in out} == {x: roots.find(x) for e in edges for x in e if any(roots.find(x) == roots.find(y) and x != y for f in edges for y in f)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_pipeline_links_from_eighty_hundredths(spark):
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(104)]
+    # 100 shingles each: 10 of them differ at 90 / 110 = 0.818, 12 at 88 / 112 = 0.786.
+    rows = [(1, " ".join(words)), (2, " ".join(words[10:] + [f"x{k}" for k in range(10)])), (11, " ".join(f"{w}y" for w in words)), (12, " ".join([f"{w}y" for w in words[12:]] + [f"z{k}" for k in range(12)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.drop_copies(spark, docs, "").collect()} == {1, 11, 12}
+    assert {r.doc_id for r in dedup.near_duplicates(docs).filter("kept").collect()} == {1, 2, 11, 12}
