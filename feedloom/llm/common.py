@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 #: Rows and bytes of text that one numpy block holds at most (a single longer text makes a block of its own).
 BLOCK_ROWS = 256
 BLOCK_BYTES = 1 << 20
+#: The same for Arrow batches of tables between stages.
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2048, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,26 +25,67 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; set here only where it is unset (tests)."""
+    """The folder that driver and executors share, from spark.checkpoint.dir. On a single machine (tests) one is made where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
     context = spark.sparkContext
     known = context.getCheckpointDir()
     if not known:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="feedloom-"))
         known = context.getCheckpointDir()
     return known
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: lineage ends, lost executors cost one stage."""
+def run_dir(spark: SparkSession) -> str:
+    """This application's folder for tables between stages."""
+    return f"{shared_dir(spark).rstrip('/')}/feedloom-{spark.sparkContext.applicationId}"
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of bounded rows and bytes for what is run within: a worker holds a batch at a time."""
+    before = {k: spark.conf.get(k, None) for k in _BATCH}
+    for k, most in _BATCH.items():
+        if not before[k] or not before[k].rstrip("b").isdigit() or int(before[k].rstrip("b")) > most:
+            spark.conf.set(k, str(most))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is not None:
+                spark.conf.set(k, v)
+
+
+def cut(df: DataFrame, used: list[str] | None = None) -> DataFrame:
+    """Write df as Parquet to the shared folder and read it back: lineage ends, lost executors cost one stage.
+
+    used takes the path, for remove() as soon as nothing lazy reads it any more. What is left goes with clean().
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/feedloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{run_dir(spark)}/{uuid.uuid4().hex}"
+    with small_batches(spark):
+        df.write.parquet(path)
+    if used is not None:
+        used.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that cut() has written."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    paths.clear()
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all tables of this application; only when no DataFrame of this subpackage is read any more."""
+    remove(spark, [run_dir(spark)])
+
+
 def train_split(doc_id):
     """The labels that may be learnt from: crc32 of the id as text, modulo 5, is not 0."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0
@@ -52,12 +96,12 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def blocks(batch: pa.RecordBatch, column: str, rows: int = BLOCK_ROWS, size: int = BLOCK_BYTES):
-    """Slices of an Arrow batch with a bounded number of rows and bytes in a text column; never an empty slice."""
+def blocks(batch: pa.RecordBatch, column: str | int, rows: int = BLOCK_ROWS, size: int = BLOCK_BYTES):
+    """Slices of an Arrow batch with a bounded number of rows and bytes in a text column (by name or place); never an empty slice."""
     n = batch.num_rows
     if not n:
         return
-    text = batch.column(batch.schema.get_field_index(column))
+    text = batch.column(column if isinstance(column, int) else batch.schema.get_field_index(column))
     lengths = np.asarray(pc.fill_null(pc.binary_length(text), 0), dtype=np.int64)
     ends = np.cumsum(lengths)
     start = 0
@@ -101,6 +145,7 @@ def splitmix(x: np.ndarray) -> np.ndarray:
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _PLACE = _RNG.integers(1, 1 << 63, 1024, dtype=np.uint64) | np.uint64(1)
+_FAR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def word_hashes(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +165,11 @@ def word_hashes(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(starts[0], len(raw)) - np.repeat(starts, spans)
     codes = _BYTE[raw[starts[0]:]]
     codes[space[starts[0]:]] = 0
-    codes *= _PLACE[place & 1023]
+    weight = _PLACE[np.minimum(place, 1023)]
+    if spans.max() > 1023:
+        far = np.flatnonzero(place >= 1023)
+        weight[far] = splitmix(place[far].astype(np.uint64) * _FAR) | np.uint64(1)
+    codes *= weight
     hashes = splitmix(np.add.reduceat(codes, starts - starts[0]))
     ends = np.cumsum([len(x) + 1 for x in data])
     counts = np.diff(np.concatenate([[0], np.searchsorted(starts, ends, side="left")]))

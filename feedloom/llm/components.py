@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import cut
+from feedloom.llm.common import cut, remove
 
 
 class UnionFind:
@@ -56,14 +56,15 @@ def _forest(batches):
     yield flush()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, used: list[str] | None = None) -> DataFrame:
     """edges: two long columns without nulls. Returns (id, component): the smallest id that each id of an edge reaches.
 
     Each task first contracts its edges to a forest, so that what is shuffled is at most a row per node and task. Star rounds
     then join the forests; a hub's rows are combined before the shuffle (minimum) and its join is one that AQE can split.
+    A round's table goes when the next one is written; used takes the path of the last.
     """
     a, b = edges.columns
-    now = cut(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).mapInArrow(_forest, "u long, v long"))
+    now = cut(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).mapInArrow(_forest, "u long, v long"), last := [])
     before = None
     while True:
         # Large star: every node hands its larger neighbours to the smallest of its neighbourhood.
@@ -74,8 +75,12 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         floor = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(floor, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").filter("u <> v").distinct()
-        now = cut(small)
+        now = cut(small, path := [])
+        remove(edges.sparkSession, last)
+        last = path
         sign = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if sign == before:
+            if used is not None:
+                used += last
             return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
         before = sign

@@ -8,9 +8,11 @@ five-word shingles (the whole sequence as one, with fewer words), as 64-bit hash
    values. At similarity 0.85 all bands miss a pair with probability 2e-8, at 0.8 with 3e-6.
 2. Documents of equal sets are one class (a partial aggregate, so that any number of copies costs a row per task).
 3. Buckets of two classes or more are kept; buckets of equal members are one.
-4. Each class is verified against the smallest class it shares most buckets with; components follow.
-5. Buckets that still hold two components or more are compared in full: their classes are dealt to blocks of bounded size, each
-   pair of blocks is a task's work, and only links that join two components within a task leave it.
+4. Each class is verified against the smallest class it shares most buckets with, its centre; components follow. A centre's set is sent
+   once to each part of its members (at most PART of a bucket), not with every member.
+5. In buckets that still hold two components or more, the members outside of the bucket's largest component are compared with all of its
+   members. Members are dealt to blocks of bounded size, each such pair of blocks is a task's work, and only links that join two components
+   within a task leave it. So a few outliers in a large family cost a pass over the family, not its square.
 
 Null ids stand alone: component_id null and kept true. Null, empty and blank texts have no shingles and no links.
 Repeated ids are one node and give a row each,
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import blocks, cut, splitmix, table, word_hashes
+from feedloom.llm.common import blocks, cut, remove, splitmix, table, word_hashes
 from feedloom.llm.components import UnionFind, components
 
 WORDS = 5
@@ -32,7 +34,9 @@ THRESHOLD = 85
 BANDS, ROWS = 24, 4
 SIGNATURE = BANDS * ROWS
 #: Shingles of one block in the full comparison of a bucket.
-BLOCK_SHINGLES = 1 << 19
+BLOCK_SHINGLES = 1 << 18
+#: Classes of a bucket that are verified against one copy of their centre's set, and parts that a bucket's rows are dealt to.
+PART, SALTS = 1024, 8
 #: Ids that are sent to every task at most (about 30 bytes each).
 BROADCAST_IDS = 4_000_000
 
@@ -145,17 +149,25 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     return 100 * inter >= threshold * (len(a) + len(b) - inter)
 
 
+def _views(column: pa.Array) -> list[np.ndarray]:
+    """The sets of a binary column, without copying them."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].tolist()
+    data = column.buffers()[2]
+    return [np.frombuffer(data, np.uint64, (b - a) // 8, a) if b > a else np.empty(0, np.uint64) for a, b in zip(offsets, offsets[1:], strict=False)]
+
+
 def _verify(batches, threshold: int):
-    """(a, b, set_a, set_b) in, linked (a, b) out."""
-    last, set_b = None, None
+    """Rows (b, part, member, id, set), sorted: a centre's row, then its members. Linked (a, b) out."""
+    centre, held = None, None
     for batch in batches:
-        a, b, x, y = batch.columns
-        keep = []
-        for i in range(batch.num_rows):
-            if b[i].as_py() != last:
-                last, set_b = b[i].as_py(), np.frombuffer(y[i].as_buffer(), np.uint64)
-            keep.append(linked(np.frombuffer(x[i].as_buffer(), np.uint64), set_b, threshold))
-        yield pa.RecordBatch.from_arrays([a.filter(pa.array(keep)), b.filter(pa.array(keep))], names=["a", "b"])
+        found = []
+        ids, sets = batch.column(3).to_pylist(), _views(batch.column(4))
+        for b, member, i, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), ids, sets, strict=True):
+            if not member:
+                centre, held = b, s.copy()
+            elif centre == b and linked(s, held, threshold):
+                found.append((i, b))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
 def block_links(ids: np.ndarray, comp: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold: int = THRESHOLD) -> list[tuple[int, int]]:
@@ -173,15 +185,15 @@ def block_links(ids: np.ndarray, comp: np.ndarray, side: np.ndarray, sets: list[
     posting, starts = owner[order], np.concatenate([[0], np.cumsum(np.bincount(inverse, minlength=len(values)))])
     ends = np.cumsum(sizes)
     roots, found, two = UnionFind(), [], bool(side.any())
-    for i in range(n):
-        if two and side[i]:
-            continue
+    # The smaller side is gone through.
+    mine_is = int(2 * side.sum() <= n)
+    for i in np.flatnonzero(side == mine_is) if two else range(n):
         mine = inverse[ends[i] - sizes[i]:ends[i]]
         lengths = starts[mine + 1] - starts[mine]
         at = np.repeat(starts[mine] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
         shared = np.bincount(posting[at], minlength=n)
         good = 100 * shared >= threshold * (sizes[i] + sizes - shared)
-        good &= (side == 1) if two else np.arange(n) > i
+        good &= (side != mine_is) if two else np.arange(n) > i
         good &= comp != comp[i]
         for j in np.flatnonzero(good):
             if roots.union(int(comp[i]), int(comp[j])):
@@ -195,6 +207,8 @@ def _compare(batches, threshold: int):
 
     def done():
         ids, comp, side = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+        if key and key[1] != key[2] and side.min() == side.max():
+            return []  # one of the two blocks has no members
         return block_links(ids, comp, side, [r[3] for r in rows], threshold) if len(rows) > 1 else []
 
     def out(links):
@@ -202,20 +216,22 @@ def _compare(batches, threshold: int):
 
     for batch in batches:
         links = []
-        names = batch.schema.names
-        get = lambda c: batch.column(names.index(c)).to_pylist()  # noqa: B023, E731
-        for k in zip(get("bucket"), get("p"), get("q"), get("id"), get("component"), get("side"), get("set"), strict=True):
+        column = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: B023, E731
+        sets = _views(column("set"))
+        for k, s in zip(zip(*(column(c).to_pylist() for c in ("bucket", "p", "q", "id", "component", "side")), strict=True), sets, strict=True):
             if k[:3] != key:
                 links += done()
                 key, rows = k[:3], []
-            rows.append((k[3], k[4], k[5], np.frombuffer(k[6], np.uint64)))
+            rows.append((k[3], k[4], k[5], s))
+        rows = [(*r[:3], r[3].copy()) for r in rows]  # the batch goes, the open group stays
         yield out(links)
     yield out(done())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """A row per document: id_col, n_shingles, component_id (smallest id reachable) and kept; threshold is in hundredths of similarity."""
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    spark, used = docs.sparkSession, []
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     feats = cut(source.mapInArrow(_features, "id long, n long, k1 long, k2 long, bands array<long>"))
     some = feats.filter("n > 0 AND id IS NOT NULL")
     # Ids may stand for several texts: classes then have numbers of their own, and ids are put in their place at the end.
@@ -223,33 +239,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = some.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands"))
     classes = cut(classes.withColumn("id", F.monotonically_increasing_id() if repeated else F.col("rep")))
 
-    rows = classes.select("id", F.explode("bands").alias("bucket"))
+    rows = classes.select("id", "n", F.explode("bands").alias("bucket"))
     full = rows.groupBy("bucket").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("s"), F.min("id").alias("least")).filter("c > 1")
     full = full.groupBy("c", "s", "least").agg(F.min("bucket").alias("bucket"), F.count("*").alias("weight"))
-    members = cut(rows.join(full.select("bucket", "least", "weight"), "bucket").select("bucket", "least", "weight", "id"))
+    # A bucket that very many classes share is dealt to SALTS tasks.
+    salt, salts = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    members = cut(rows.withColumn("salt", salt).join(full.withColumn("salt", salts), ["bucket", "salt"]).select("bucket", "salt", "c", "least", "weight", "id", "n"), used)
 
-    wanted = cut(members.select("id").distinct().join(classes.select("id", "rep"), "id").select("rep").distinct() if repeated else members.select(F.col("id").alias("rep")).distinct())
+    wanted = cut(members.select("id").distinct().join(classes.select("id", "rep"), "id").select("rep").distinct() if repeated else members.select(F.col("id").alias("rep")).distinct(), used)
     # Ids are sent to the tasks up to a checked number; beyond it the texts are shuffled to them.
     near = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     sets = source.filter("id IS NOT NULL").join(near, F.col("id") == F.col("rep"), "left_semi").mapInArrow(_sets, "id long, k1 long, k2 long, set binary")
     if repeated:
         own = classes.select("k1", "k2", F.col("rep"), F.col("id").alias("class"))
         sets = sets.join(own, ["k1", "k2"]).filter("id = rep").select(F.col("class").alias("id"), "set").dropDuplicates(["id"])
-    sets = cut(sets.select("id", "set"))
-
-    stars = members.filter("id <> least").groupBy("id", "least").agg(F.sum("weight").alias("w"))
-    stars = stars.groupBy("id").agg(F.max_by("least", F.struct("w", -F.col("least"))).alias("least")).select(F.col("id").alias("a"), F.col("least").alias("b"))
-    pairs = stars.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
-    star_links = cut(pairs.select("a", "b", "x", "y").mapInArrow(lambda batches: _verify(batches, threshold), "a long, b long"))
-    first = cut(components(star_links))
-
-    labelled = cut(members.join(classes.select("id", "n"), "id").join(first, "id", "left").withColumn("component", F.coalesce("component", "id")))
-    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("n").alias("total"))
-    mixed = mixed.filter("lo < hi").select("bucket", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int").alias("parts"))
-    active = labelled.join(mixed, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    # A member of block i meets the blocks 0..i as second, i+1.. as first; pair (p, q) has p <= q.
-    meets = active.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    meets = meets.select("bucket", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "component", F.when(F.col("part") > F.col("other"), 1).otherwise(0).alias("side"))
+    sets = cut(sets.select("id", "set"), used)
+
+    stars = members.filter("id <> least").groupBy("id", "least").agg(F.sum("weight").alias("w"), F.max("c").alias("c"))
+    stars = stars.groupBy("id").agg(F.max_by(F.struct("least", "c"), F.struct("w", -F.col("least"))).alias("s"))
+    parts = F.ceil(F.col("s.c") / PART)
+    stars = stars.select("id", F.col("s.least").alias("b"), (parts * (1 << 31) + F.pmod(F.xxhash64("id"), parts)).alias("part"))
+    centres = stars.select("b", "part").distinct().select("b", "part", F.lit(0).alias("member"), F.col("b").alias("id"))
+    stars = centres.unionByName(stars.select("b", "part", F.lit(1).alias("member"), "id")).join(sets, "id").select("b", "part", "member", "id", "set")
+    stars = stars.repartition("b", "part").sortWithinPartitions("b", "part", "member")
+    star_links = cut(stars.mapInArrow(lambda batches: _verify(batches, threshold), "a long, b long"), used)
+    first = components(star_links, used)
+
+    labelled = cut(members.select("bucket", "salt", "id", "n").join(first, "id", "left").withColumn("component", F.coalesce("component", "id")), used)
+    shares = labelled.groupBy("bucket", "component").agg(F.sum("n").alias("n"))
+    mixed = shares.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("total"), F.count("*").alias("k")).filter("k > 1")
+    blocks_of = lambda n: F.ceil(n / BLOCK_SHINGLES).cast("int")
+    mixed = mixed.select("bucket", "major", blocks_of(F.col("most")).alias("majors"), blocks_of(F.col("total") - F.col("most")).alias("minors"))
+    deal = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    minor = F.col("component") != F.col("major")
+    active = labelled.join(mixed.withColumn("salt", salts), ["bucket", "salt"]).withColumn("block", F.when(minor, F.col("majors") + deal(F.col("minors"))).otherwise(deal(F.col("majors"))))
+    # Blocks of the largest component come first and meet those of the others; these meet all blocks. Pair (p, q) has p <= q.
+    meets = active.withColumn("other", F.explode(F.sequence(F.when(minor, 0).otherwise(F.col("majors")), F.col("majors") + F.col("minors") - 1)))
+    meets = meets.select("bucket", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "id", "component", F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"))
     work = meets.join(sets, "id")
     work = work.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "id")
     more = work.mapInArrow(lambda batches: _compare(batches, threshold), "a long, b long")
@@ -265,6 +291,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         whole = components(links)
         tops = copies.join(whole.withColumnRenamed("id", "rep"), "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
         final = whole.union(tops)
+    remove(spark, used)
     out = feats.select("id", "n").join(final, "id", "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))

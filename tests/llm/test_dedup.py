@@ -4,6 +4,7 @@ from itertools import combinations
 import numpy as np
 
 from feedloom.llm import dedup
+from feedloom.llm.common import word_hashes
 from feedloom.llm.components import UnionFind, components
 
 
@@ -71,6 +72,26 @@ def test_ids_with_several_texts(spark):
     assert sorted((r.doc_id, r.component_id) for r in out) == [(1, 1), (2, 1), (2, 1), (3, 1), (4, 4), (5, 4), (5, 4), (6, 6)]
 
 
+def test_long_words_of_swapped_parts_differ():
+    x, y = b"x" * 1024, b"y" * 1024
+    hashes, counts = word_hashes([x + y, y + x, x + y + b" z", b"q" * 5000])
+    assert counts.tolist() == [1, 1, 2, 1] and hashes[0] == hashes[2] and len(set(hashes.tolist())) == 4
+
+
+def test_few_outliers_of_a_large_family(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BLOCK_SHINGLES", 3000)
+    monkeypatch.setattr(dedup, "PART", 16)
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(i, " ".join(base[:100] + [f"x{i}"] + base[101:])) for i in range(80)]
+    for i in range(80, 92):
+        text = list(base)
+        for k in rng.sample(range(120), 5):
+            text[k] = f"y{i}"
+        rows.append((i, " ".join(text)))
+    assert run(spark, rows)[0] == brute(rows)
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     a = rng.integers(0, 2**63, 400).astype(np.uint64)
