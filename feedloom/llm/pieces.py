@@ -5,7 +5,7 @@ border before a space that follows other text, so that the lattice of a text is
 that is no piece, and U+2581 itself, is the sequence of its byte pieces, which is its only edge. Other edges weigh
 log p = -SHARPNESS * log(rank + 2), rank being the piece's place in the model (Zipf's law; single characters have their place too).
 
-Forward filtering gives the log mass of all paths to each node of a segment; segments of equal text in a block share it. Backward sampling
+Forward filtering gives the log mass of all paths to each node of a segment; segments of equal text that a worker meets share it. Backward sampling
 draws the edge into a node by its share of the node's mass, from the segment's end to its start. The draws are hashes of (row key, segment
 number, step, seed), so that a row's result depends on no other row, nor on how the table is partitioned.
 
@@ -15,7 +15,10 @@ length are sampled whole. Decoding is exact for any text.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +30,12 @@ from feedloom.llm.common import blocks, splitmix, table
 MODEL = os.environ.get("FEEDLOOM_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 SHARPNESS = 1.0
 SEED = 1
+#: Nodes of lattices that a worker keeps (about 60 bytes each).
+STORED_NODES = 600_000
 
 _U = np.uint64
 _MARK = "\u2581"
-_LITERAL = "\ud800"
+_LITERAL = 0xD800
 _STEP = _U(0x9E3779B97F4A7C15)
 
 
@@ -60,23 +65,26 @@ class Pieces:
                 self.data.append(piece.replace(_MARK, " ").encode())
                 normal.append(i)
         self.weight = -sharpness * np.log(np.arange(n) + 2.0)
-        self.longest = max(len(self.text[i]) for i in normal)
-        self.lengths = sorted({len(self.text[i]) for i in normal})
-        hashes = np.array([self._hash(self.text[i]) for i in normal], np.uint64)
+        sizes = np.array([len(self.text[i]) for i in normal])
+        self.longest, self.lengths = int(sizes.max()), set(sizes.tolist())
+        hashes = np.empty(len(normal), np.uint64)
+        for k in self.lengths:
+            at = np.flatnonzero(sizes == k)
+            codes = np.frombuffer("".join(self.text[normal[i]] for i in at).encode("utf-32-le"), np.uint32)
+            hashes[at] = fold(mix_chars(codes).reshape(-1, k))
         self.bits = 20
         slot = (hashes >> _U(64 - self.bits)).astype(np.int64)
         self.keys, self.ids = np.zeros((1 << self.bits) + 64, np.uint64), np.full((1 << self.bits) + 64, -1, np.int32)
         self.probes = 1
-        for h, s, i in zip(hashes, slot, normal, strict=True):
+        for h, s, i in zip(hashes, slot.tolist(), normal, strict=True):
             k = 0
             while self.ids[s + k] >= 0:
                 k += 1
             self.keys[s + k], self.ids[s + k] = h, i
             self.probes = max(self.probes, k + 1)
-
-    @staticmethod
-    def _hash(piece: str) -> np.uint64:
-        return fold(mix_chars(np.frombuffer(piece.encode("utf-32-le"), np.uint32)).reshape(1, -1))[0]
+        self.flat = np.frombuffer(b"".join(self.data), np.uint8)
+        self.bytes_of = np.array([len(d) for d in self.data])
+        self.at = np.cumsum(self.bytes_of) - self.bytes_of
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         """Piece ids of hashes, -1 for none."""
@@ -92,6 +100,19 @@ class Pieces:
         """The text of a sequence of ids. Every text that was encoded comes back as it was."""
         return b"".join([self.data[i] for i in ids]).decode("utf-8")
 
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """decode() of many sequences at once, as bytes: all of them one after the other, and where each ends."""
+        n = self.bytes_of[ids]
+        after = np.cumsum(n)
+        out = self.flat[np.repeat(self.at[ids] - after + n, n) + np.arange(n.sum())]
+        return out, np.concatenate([[0], after])[ends]
+
+
+@functools.lru_cache(maxsize=1)
+def pieces_of(path: str) -> Pieces:
+    """A model, read once per worker."""
+    return Pieces(path)
+
 
 def fold(columns: np.ndarray) -> np.ndarray:
     """Hashes of rows of mixed characters; extend() goes on from them."""
@@ -107,10 +128,16 @@ def extend(h: np.ndarray, chars: np.ndarray) -> np.ndarray:
 
 
 class Lattice:
-    """The lattices of some distinct segments: nodes 0..n of each, with the edges into each node and their shares."""
+    """The lattices of some distinct segments: nodes 0..n of each, with the edges into each node and their shares.
+
+    starts has the number of the first edge into each node (and one more entry), upto the share of a node's edges up to each of them. Both are
+    sums within a node, so that a segment's values are the same in whatever company it is.
+    """
 
     def __init__(self, pieces: Pieces, segments: list[str]):
-        codes = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
+        # Spaces are marks; a literal mark moves to a surrogate, which no text from Arrow has.
+        codes = np.where(codes == 32, np.uint32(0x2581), np.where(codes == 0x2581, np.uint32(_LITERAL), codes))
         sizes = np.array([len(s) for s in segments])
         ends = np.cumsum(sizes)
         # Node numbers: character number plus segment number, and one more node at each segment's end.
@@ -141,11 +168,13 @@ class Lattice:
         dst.append(node[lone] + 1)
         ids.append(-1 - codes[lone].astype(np.int64))
         src, dst, ids = np.concatenate(src), np.concatenate(dst), np.concatenate(ids).astype(np.int64)
-        order = np.argsort(dst, kind="stable")
-        self.src, dst, self.ids = src[order], dst[order], ids[order]
-        weight = np.where(self.ids >= 0, pieces.weight[np.maximum(self.ids, 0)], 0.0)
+        # The longest edge of a node comes first: it is the likeliest as a rule, so that a draw seldom looks further.
+        order = len(dst) - 1 - np.argsort(dst[::-1], kind="stable")
+        src, dst, ids = src[order], dst[order], ids[order]
+        weight = np.where(ids >= 0, pieces.weight[np.maximum(ids, 0)], 0.0)
         n_nodes = len(codes) + len(segments)
-        starts = np.searchsorted(dst, np.arange(n_nodes + 1))
+        self.starts = np.searchsorted(dst, np.arange(n_nodes + 1))
+        degree = np.diff(self.starts)
         mass = np.zeros(n_nodes)
         # Nodes in order of their place in the segment: all segments go on together.
         place = np.arange(n_nodes) - np.repeat(self.first, sizes + 1)
@@ -153,111 +182,137 @@ class Lattice:
         bounds = np.searchsorted(place[by_place], np.arange(1, sizes.max() + 2))
         for p in range(len(bounds) - 1):
             nodes = by_place[bounds[p]:bounds[p + 1]]
-            n = starts[nodes + 1] - starts[nodes]
+            n = degree[nodes]
             offset = np.cumsum(n) - n
-            edges = np.repeat(starts[nodes] - offset, n) + np.arange(n.sum())
-            value = mass[self.src[edges]] + weight[edges]
+            edges = np.repeat(self.starts[nodes] - offset, n) + np.arange(n.sum())
+            value = mass[src[edges]] + weight[edges]
             top = np.maximum.reduceat(value, offset)
             mass[nodes] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, n)), offset))
-        share = np.exp(mass[self.src] + weight - mass[dst])
-        total = np.cumsum(share)
-        before = np.concatenate([[0.0], total])[starts[dst]]
-        # One ascending array for all nodes: node number + share of the edges up to this one.
-        inside = np.minimum((total - before), 1.0)
-        is_last = np.ones(len(dst), bool)
-        is_last[:-1] = dst[1:] != dst[:-1]
-        inside[is_last] = 1.0
-        self.cdf = dst + inside
+        self.src, self.ids, self.upto = src.astype(np.int32), ids.astype(np.int32), np.exp(mass[src] + weight - mass[dst])
+        rank = np.arange(len(dst)) - self.starts[dst]
+        for r in range(1, int(degree.max(initial=0))):
+            at = np.flatnonzero(rank == r)
+            self.upto[at] += self.upto[at - 1]
+
+
+class Store:
+    """The lattices of the segments that a worker has met, up to a number of nodes; then it begins anew."""
+
+    def __init__(self, pieces: Pieces, most: int = STORED_NODES):
+        self.pieces, self.most = pieces, most
+        self.clear()
+
+    def clear(self):
+        self.number: dict[str, int] = {}
+        self.nodes = self.edges = 0
+        self.first, self.last, self.starts = np.empty(0, np.int32), np.empty(0, np.int32), np.zeros(1, np.int32)
+        self.src, self.ids, self.upto = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0)
+
+    @staticmethod
+    def _put(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+        if at + len(values) > len(array):
+            array = np.concatenate([array[:at], np.empty(max(len(values), at, 1 << 12), array.dtype)])
+        array[at:at + len(values)] = values
+        return array
+
+    def rows(self, segments: list[str]) -> np.ndarray:
+        """The numbers of segments; those not met so far are added."""
+        new = [s for s in dict.fromkeys(segments) if s not in self.number]
+        if new:
+            if self.nodes > self.most:
+                self.clear()
+                new = list(dict.fromkeys(segments))
+            made, n = Lattice(self.pieces, new), len(self.number)
+            self.number.update(zip(new, range(n, n + len(new)), strict=True))
+            self.first, self.last = self._put(self.first, n, made.first + self.nodes), self._put(self.last, n, made.last + self.nodes)
+            self.starts = self._put(self.starts, self.nodes, made.starts + self.edges)
+            self.src = self._put(self.src, self.edges, made.src + self.nodes)
+            self.ids, self.upto = self._put(self.ids, self.edges, made.ids), self._put(self.upto, self.edges, made.upto)
+            self.nodes, self.edges = self.nodes + len(made.starts) - 1, self.edges + len(made.ids)
+        return np.fromiter(map(self.number.__getitem__, segments), np.int64, len(segments))
 
     def draw(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """An edge into each node (none of them a first node), by uniform numbers."""
-        return np.searchsorted(self.cdf, nodes + u, side="right")
-
-
-def split(text: str) -> list[str]:
-    """Segments of a text whose spaces are marks: marks, then other characters. Joined, they are the text."""
-    out, words = [], text.split(_MARK)
-    lead = 0
-    for k, w in enumerate(words):
-        if k:
-            lead += 1
-        if w:
-            out.append(_MARK * lead + w)
-            lead = 0
-    if lead:
-        out.append(_MARK * lead)
-    return out
-
-
-def sample(pieces: Pieces, keys: list[int], texts: list[str], seed: int = SEED) -> list[np.ndarray]:
-    """Sampled piece ids of some texts."""
-    number: dict[str, int] = {}
-    rows, counts = [], []
-    for text in texts:
-        # A literal mark is moved beyond Unicode's planes in use, to a surrogate: texts from Arrow are UTF-8 and hold none.
-        segs = split(text.replace(_MARK, _LITERAL).replace(" ", _MARK))
-        rows += [number.setdefault(s, len(number)) for s in segs]
-        counts.append(len(segs))
-    if not rows:
-        return [np.empty(0, np.int32) for _ in texts]
-    lattice = Lattice(pieces, list(number))
-    rows, counts = np.array(rows), np.array(counts)
-    nodes, first = lattice.last[rows], lattice.first[rows]
-    row_key = np.array(keys, np.int64).view(np.uint64) ^ splitmix(np.array([seed], np.uint64))
+        """An edge into each node (none of them a first node), by uniform numbers below 1: the first whose share, with those before it, exceeds the number.
+
+        A node's last edge takes what is left, whatever the sum of the shares is rounded to.
+        """
+        edge, last = self.starts[nodes].astype(np.int64), self.starts[nodes + 1] - 1
+        open_ = np.flatnonzero((u >= self.upto[edge]) & (edge < last))
+        while len(open_):
+            edge[open_] += 1
+            e = edge[open_]
+            open_ = open_[(u[open_] >= self.upto[e]) & (e < last[open_])]
+        return edge
+
+
+#: Segments of a text: spaces, then other characters. Joined, they are the text.
+_SEGMENT = re.compile(r" *[^ ]+| +")
+
+
+def sample(store: Store, keys: np.ndarray, texts: list[str], seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Sampled piece ids of some texts, one after the other, and how many each text has."""
+    segments = [_SEGMENT.findall(t) for t in texts]
+    counts = np.array([len(s) for s in segments], np.int64)
+    if not counts.sum():
+        return np.empty(0, np.int32), counts
+    rows = store.rows(list(itertools.chain.from_iterable(segments)))
+    nodes, first = store.last[rows].astype(np.int64), store.first[rows]
+    row_key = np.asarray(keys, np.int64).view(np.uint64) ^ splitmix(np.array([seed], np.uint64))
     at = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
     state = splitmix(splitmix(np.repeat(row_key, counts)) + at.astype(np.uint64) * _STEP)
     taken, owners, live = [], [], np.arange(len(rows))
     while len(live):
         state = splitmix(state + _STEP)
-        e = lattice.draw(nodes, (state >> _U(11)).astype(np.float64) * 2.0**-53)
-        taken.append(lattice.ids[e])
+        e = store.draw(nodes, (state >> _U(11)).astype(np.float64) * 2.0**-53)
+        taken.append(store.ids[e])
         owners.append(live)
-        nodes = lattice.src[e]
+        nodes = store.src[e].astype(np.int64)
         go = nodes > first
         nodes, first, state, live = nodes[go], first[go], state[go], live[go]
-    # Edges were drawn from the end: order by segment, later draws first.
+    # Edges were drawn from the end: a segment's k-th draw is its k-th piece from behind.
+    owner = np.concatenate(owners)
+    drawn = np.bincount(owner, minlength=len(rows))
     step = np.repeat(np.arange(len(taken)), [len(t) for t in taken])
-    ids, owners = np.concatenate(taken), np.concatenate(owners)
-    order = np.lexsort((-step, owners))
-    ids, owners = ids[order], owners[order]
-    ids, owners = _bytes(pieces, ids, owners)
-    cuts = np.searchsorted(owners, np.cumsum(counts)[:-1])
-    return np.split(ids.astype(np.int32), cuts)
+    ids, ends = np.empty(len(owner), np.int32), np.cumsum(drawn)
+    ids[ends[owner] - 1 - step] = np.concatenate(taken)
+    # Edges that name a character become its byte pieces.
+    text_of = np.repeat(np.repeat(np.arange(len(texts)), counts), drawn)
+    ids, text_of = _bytes(store.pieces, ids, text_of)
+    return ids, np.bincount(text_of, minlength=len(texts))
 
 
 def _bytes(pieces: Pieces, ids: np.ndarray, owners: np.ndarray):
-    """Edges that name a character become its byte pieces."""
     lone = np.flatnonzero(ids < 0)
     if not len(lone):
         return ids, owners
-    parts = [pieces.byte_ids[np.frombuffer((_MARK if c == 0xD800 else chr(c)).encode("utf-8"), np.uint8)] for c in (-1 - ids[lone]).tolist()]
+    parts = [pieces.byte_ids[np.frombuffer((_MARK if c == _LITERAL else chr(c)).encode("utf-8"), np.uint8)] for c in (-1 - ids[lone]).tolist()]
     n = np.ones(len(ids), np.int64)
     n[lone] = [len(p) for p in parts]
     out = np.repeat(ids, n)
     ends = np.cumsum(n)
-    for i, p in zip(lone.tolist(), parts, strict=True):
-        out[ends[i] - len(p):ends[i]] = p
+    out[np.repeat(ends[lone] - n[lone], n[lone]) + np.arange(n[lone].sum()) - np.repeat(np.cumsum(n[lone]) - n[lone], n[lone])] = np.concatenate(parts)
     return out, np.repeat(owners, n)
 
 
 def encode_sampled(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", seed: int = SEED, model: str = MODEL) -> DataFrame:
     """key_col, n_chars, n_pieces, pieces (array<int>) and lossless (the decoded pieces equal the text), a row per document."""
     kind = docs.schema[key_col].dataType.simpleString()
-    source = docs.select(F.col(key_col), F.xxhash64(F.col(key_col)).alias("_key"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(key_col), F.xxhash64(F.col(key_col)), F.col(text_col).cast("string"))
 
     def run(batches):
-        pieces = Pieces(model)
+        store = Store(pieces_of(model))
         for whole in batches:
-            for part in blocks(whole, "text"):
+            for part in blocks(whole, 2):
                 texts = part.column(2).to_pylist()
-                found = sample(pieces, part.column(1).to_pylist(), [t or "" for t in texts], seed)
-                null = np.array([t is None for t in texts])
-                ends = np.concatenate([[0], np.cumsum([len(f) for f in found])])
-                flat = pa.array(np.concatenate(found) if found else np.empty(0, np.int32), pa.int32())
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=pa.array(null))
-                same = [None if t is None else pieces.decode(f.tolist()) == t for t, f in zip(texts, found, strict=True)]
+                ids, counts = sample(store, part.column(1).to_numpy(), [t or "" for t in texts], seed)
+                ends = np.cumsum(counts)
+                null = pa.array([t is None for t in texts])
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids, pa.int32()), mask=null)
+                back, stops = store.pieces.decode_all(ids, ends)
+                begins = np.concatenate([[0], stops[:-1]]).tolist()
+                same = [None if t is None else back[a:b].tobytes() == t.encode() for t, a, b in zip(texts, begins, stops.tolist(), strict=True)]
                 n = [None if t is None else len(t) for t in texts]
-                m = [None if t is None else len(f) for t, f in zip(texts, found, strict=True)]
+                m = [None if t is None else k for t, k in zip(texts, counts.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(m, pa.int64()), lists, pa.array(same, pa.bool_())], names=[key_col, "n_chars", "n_pieces", "pieces", "lossless"])
 
     return source.mapInArrow(run, f"`{key_col}` {kind}, n_chars long, n_pieces long, pieces array<int>, lossless boolean")
@@ -268,7 +323,7 @@ def decode_pieces(rows: DataFrame, key_col: str = "doc_id", model: str = MODEL)
     kind = rows.schema[key_col].dataType.simpleString()
 
     def run(batches):
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
             texts = [None if p is None else pieces.decode(p) for p in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key_col, "text"])

@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from feedloom.llm import pieces, pii
 
 
@@ -37,10 +39,38 @@ def test_sampling_follows_the_lattice():
 
     weight = {q: math.exp(sum(p.weight[i] for i in q)) for q in paths("▁cats")}
     total, n = sum(weight.values()), 20000
-    found = Counter(tuple(x.tolist()) for x in pieces.sample(p, list(range(n)), [" cats"] * n))
+    drawn, counts = pieces.sample(pieces.Store(p), np.arange(n), [" cats"] * n)
+    found = Counter(tuple(x.tolist()) for x in np.split(drawn, np.cumsum(counts)[:-1]))
     assert set(found) <= set(weight) and max(abs(w / total - found[q] / n) for q, w in weight.items()) < 0.015
 
 
+def test_draws_stay_within_their_node():
+    store = pieces.Store(pieces.pieces_of(pieces.MODEL))
+    rows = store.rows(["abc", " the", "word"])
+    top = np.nextafter(1.0, 0.0)
+    assert top == 1 - 2.0**-53
+    for segment in rows:
+        first, last = int(store.first[segment]), int(store.last[segment])
+        for node in range(first + 1, last + 1):
+            for u in (0.0, top):
+                e = int(store.draw(np.array([node]), np.array([u]))[0])
+                assert store.starts[node] <= e < store.starts[node + 1] and first <= store.src[e] < node
+            assert store.draw(np.array([node]), np.array([top]))[0] == store.starts[node + 1] - 1
+
+
+def test_a_text_is_sampled_alike_in_any_company():
+    p, rng = pieces.pieces_of(pieces.MODEL), random.Random(4)
+    texts = [" ".join("".join(rng.choice("abcdeé漢▁") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(30))) for _ in range(60)]
+    keys = np.arange(60)
+    whole, counts = pieces.sample(pieces.Store(p), keys, texts)
+    small = pieces.Store(p, most=50)  # begins anew again and again
+    for k, part in enumerate(np.split(whole, np.cumsum(counts)[:-1])):
+        assert pieces.sample(small, keys[k:k + 1], texts[k:k + 1])[0].tolist() == part.tolist()
+        assert p.decode(part.tolist()) == texts[k]
+    back, ends = p.decode_all(whole, np.cumsum(counts))
+    assert back.tobytes() == "".join(texts).encode() and ends[-1] == len(back)
+
+
 def brute(text):
     rules = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
     found = []
