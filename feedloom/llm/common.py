@@ -125,6 +125,14 @@ def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.Reco
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name like the given one that no column has (names are compared without case)."""
+    known = {c.lower() for c in taken}
+    while name in known:
+        name = f"_{name}"
+    return name
+
+
 def schema_with(df: DataFrame, columns: dict[str, str]) -> str:
     """DDL of df with columns set as with_columns() sets them."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields} | columns
