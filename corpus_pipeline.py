@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import decontam, dedup, pieces, pii, toxicity
-from feedloom.llm.common import cut, table
+from feedloom.llm.common import fresh, table
 
 
 #: Documents are near-duplicates from this similarity of their five-word shingles on, in hundredths.
@@ -20,8 +20,8 @@ NEAR = 80
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go; the model is fitted on the labelled documents of sf_dir."""
     model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, out="_toxic")
-    return scored.filter(F.col("_toxic") < toxicity.THRESHOLD).select(*docs.columns)
+    name = fresh("toxic", docs.columns)
+    return toxicity.score(docs, model, out=name).filter(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +38,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def hide_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in angle brackets; n_chars follows the text."""
-    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()))
-    hidden = pii.redact(rows, pii.find_pii(rows, "_row"), "_row")
-    return hidden.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return pii.hide(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
