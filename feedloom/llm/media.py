@@ -1,7 +1,7 @@
 """Texts as WAV payloads: lossless 8-bit samples, short-time spectra and spectral-peak pair fingerprints.
 
 Null and empty texts are one frame of padding. Any length works: the payload grows with the text and is never cut.
-Equal texts give equal rows; repeated rows are returned as often as they come.
+Equal texts give equal rows; repeated rows are returned as often as they come, null ids as null. No rows give none.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedloom.llm.common import table
+from feedloom.llm.common import blocks, table
 
 FRAME = 576
 RATE = 8000
@@ -92,13 +93,12 @@ def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches):
         for batch in batches:
-            ids, texts = batch.columns
-            for at in range(0, batch.num_rows, 64):
-                rows = [describe(t) for t in texts.slice(at, 64).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([ids.slice(at, 64), *(pa.array([r[k] for r in rows], type=t) for k, t in _TYPES.items())], names=[id_col, *_TYPES])
+            for part in blocks(batch, 1, rows=64):
+                rows = [describe(t) for t in part.column(1).cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([r[k] for r in rows], type=t) for k, t in _TYPES.items())], names=[id_col, *_TYPES])
 
     schema = f"`{id_col}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, fingerprint array<long>"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,8 @@ def scan(spark, rows):
 def test_whole_texts_notices_and_spellings(spark):
     mit = "MIT Licence\n\nCopyright (c) 2020 Someone\n(c) others\n\n" + licenses._MIT.replace("sublicense", "sub-licence").upper()
     rows = [(1, mit), (2, "code\n\n" + licenses._ISC + "\n"), (3, "words\n  released UNDER the mit licence!\nmore"), (4, "Released under the MIT License. And more"), (5, None), (6, ""), (7, "Licensed under CC BY-NC 4.0.")]
-    # The title line of the first is a known notice by itself; the second's two paragraphs are known only together, as a whole text.
-    assert scan(spark, rows) == [(1, "document", 0, "MIT"), (1, "line", 0, "MIT"), (1, "paragraph", 0, "MIT"), (3, "line", 1, "MIT"), (7, "document", 0, "CC-BY-NC-4.0")]
+    # The title line of the first is a known notice by itself; the second's two paragraphs are known only together.
+    assert scan(spark, rows) == [(1, "document", 0, "MIT"), (1, "line", 0, "MIT"), (1, "paragraph", 0, "MIT"), (1, "paragraphs", 2, "MIT"), (2, "paragraphs", 1, "ISC"), (3, "line", 1, "MIT"), (7, "document", 0, "CC-BY-NC-4.0")]
 
 
 def test_brute_force_units(spark):
@@ -25,6 +25,29 @@ def test_brute_force_units(spark):
     assert {(u, n) for _, u, _, n in scan(spark, [(1, text)])} == want and prepared("A,  B\nc") == "a b c"
 
 
+def test_every_known_text_wrapped_inside_of_a_longer_one(spark):
+    import textwrap
+
+    several = [(n, t) for n, t in licenses.KNOWN if "\n\n" in t]
+    wrap = lambda t: "\n\n".join("\n".join(textwrap.wrap(p, 60, break_on_hyphens=False)) for p in t.split("\n\n"))
+    rows = [(k, f"About this.\n\n{wrap(t)}\n\nMore text.") for k, (_, t) in enumerate(several)] + [(99, "a\n\n" + several[0][1][:300]), (None, wrap(several[0][1]))]
+    found = {(r.doc_id, r.license) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.unit == "paragraphs"}
+    assert found >= {(k, n) for k, (n, _) in enumerate(several)} and not [f for f in found if f[0] == 99]
+    assert "copyright holder" in licenses.canonical("by the\nCopyright holders and") and licenses.canonical("Copyright 2020 A\nCopyright (c) B\n(c) C") == ""
+    repeated = [(1, "MIT License"), (1, "MIT License"), (None, "x\nMIT License")]
+    assert len(licenses.scan(spark.createDataFrame(repeated, "doc_id long, text string")).collect()) == 3
+    clash = spark.createDataFrame([(1, "MIT License", "u", 5)], "doc_id long, text string, t string, digest int")
+    assert [(r.unit, r.license) for r in licenses.scan(clash).collect()] == [("document", "MIT")]
+    assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_media_of_no_rows_null_ids_and_clashes(spark):
+    schema = "doc_id long, text string, feature int"
+    assert media.media_features(spark.createDataFrame([], schema)).collect() == []
+    out = media.media_features(spark.createDataFrame([(None, "a", 1), (None, "a", 2)], schema)).collect()
+    assert len(out) == 2 and out[0] == out[1] and out[0].doc_id is None
+
+
 def test_media_round_trip(spark):
     texts = [None, "", "a", "é" * 288, "x" * 576, "y" * 577, "long " * 40000, "a"]
     out = media.media_features(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
