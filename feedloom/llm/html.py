@@ -1,9 +1,10 @@
 """Main text of web pages, with site templates found by counting element subtrees per host.
 
 Every element subtree outside of an article (and every container inside of one) is hashed. Spark counts, for each host, the
-distinct pages that hold a subtree; subtrees of at least MIN_PAGES pages are the site's template and are deleted. Paragraphs
+distinct pages that hold a subtree; subtrees of at least MIN_PAGES pages and a share of SHARE of the host's pages are the site's template and are deleted. Paragraphs
 and headings of an article are never counted as template, so that copies and quoted passages stay. Elements that are
-boilerplate by their own name, role or class (menus, forms, adverts, comments and so on) are left out on any page.
+boilerplate by their own name, role or class (menus, forms, adverts, comments and so on) are left out on any page, but not where a mere role,
+class or form holds an article (or main element) and most of the page's text.
 
 On a host of at least MIN_PAGES distinct pages all else is the text, in articles or not. Where a host has too few pages to
 count, the article elements (else the main element) stand for the text, if there are any.
@@ -28,6 +29,8 @@ from feedloom.llm.common import cut, table
 
 #: A subtree on so many distinct pages of a host belongs to its template.
 MIN_PAGES = 8
+#: ... if they are this share of the host's pages.
+SHARE = 0.01
 #: The number of a page's root; among its template subtrees it says that its host has enough pages to count.
 _COUNTED = 0
 _DEALT = 64
@@ -50,13 +53,15 @@ _OPENS = re.compile(r"<[A-Za-z/!?]")
 
 
 class Node:
-    __slots__ = ("at", "tag", "marks", "kids", "drop")
+    __slots__ = ("at", "tag", "marks", "kids", "drop", "soft")
 
     def __init__(self, at: int, tag: str, attrs: list):
         self.at, self.tag, self.kids = at, tag, []
         had = {k: v or "" for k, v in attrs}
         self.marks = " ".join(had.get(k, "") for k in ("class", "id", "role"))
-        self.drop = tag in _DROP or (tag not in _KEEP and self._boilerplate(had)) or (tag == "article" and bool(_WORDS & self._tokens(had)))
+        hard = tag in _DROP and tag != "form"
+        self.drop = hard or tag == "form" or (tag not in _KEEP and self._boilerplate(had)) or (tag == "article" and bool(_WORDS & self._tokens(had)))
+        self.soft = self.drop and not hard and tag != "article" and "hidden" not in had
 
     @staticmethod
     def _tokens(had: dict) -> set:
@@ -74,6 +79,7 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node(_COUNTED, "", [])
         self.open, self.count, self.named = [self.root], 1, Counter()
+        self.wrappers: dict[int, Node] = {}
 
     def handle_starttag(self, tag, attrs):
         if tag in _P_ENDS:
@@ -82,6 +88,8 @@ class _Tree(HTMLParser):
             self._end(_ENDS[tag], _SCOPE.get(tag, {"table"}))
         node = Node(self.count, tag, attrs)
         self.count += 1
+        if tag in ("article", "main"):
+            self.wrappers.update((n.at, n) for n in self.open if n.soft)
         self.open[-1].kids.append(node)
         if tag not in _VOID:
             self.open.append(node)
@@ -126,9 +134,23 @@ def parse(html: str) -> Node:
     tree = _Tree()
     tree.feed(html[:cut_off.start()] if cut_off else html)
     tree.close()
+    for node in tree.wrappers.values():
+        node.drop = 2 * _length(node) <= _length(tree.root)
     return tree.root
 
 
+def _length(node: Node) -> int:
+    """Characters of text below a node, without what has no text of its own kind."""
+    total, stack = 0, [node]
+    while stack:
+        for k in stack.pop().kids:
+            if isinstance(k, str):
+                total += len(k.strip())
+            elif k.tag not in ("script", "style", "template", "noscript"):
+                stack.append(k)
+    return total
+
+
 def subtrees(root: Node) -> list[tuple[int, int]]:
     """(number, hash) of the subtrees that a template may hold. Deep trees are walked without recursion."""
     found, hashes = [], {}
@@ -204,7 +226,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", min_pages: int = MIN_PAGE
     numbers of template subtrees, bounded by the page, come back to it by a join on host and content digest.
     """
     kind = pages.schema[id_col].dataType.simpleString()
-    rows = pages.select(id_col, "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("host", _host(F.col("url"))).withColumn("page", F.xxhash64("host", "html"))
+    rows = pages.select(F.col(id_col).alias("id"), "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("host", _host(F.col("url"))).withColumn("page", F.unhex(F.md5(F.concat_ws("\0", "host", "html").cast("binary"))))
 
     def hash_pages(batches):
         for batch in batches:
@@ -216,14 +238,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", min_pages: int = MIN_PAGE
                     for node, h in [(_COUNTED, 0), *subtrees(parse(html))]:
                         for column, value in zip(out, (host, page, node, h), strict=True):
                             column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64())], names=["host", "page", "node", "hash"])
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64())], names=["host", "page", "node", "hash"])
 
-    nodes = cut(rows.select("host", "page", "html").mapInArrow(hash_pages, "host string, page long, node int, hash long"))
+    nodes = cut(rows.select("host", "page", "html").mapInArrow(hash_pages, "host string, page binary, node int, hash long"))
     # Distinct pages of a (host, hash): a page is one row here however often the subtree or the page itself is repeated.
     seen = nodes.groupBy("host", "hash", "page").agg(F.count("*").alias("n"))
-    template = seen.groupBy("host", "hash").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages).select("host", "hash")
+    counted = cut(seen.groupBy("host", "hash").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages))
+    # A host's root is counted once a page: the pages of the host.
+    hosts = counted.filter("hash = 0").select("host", F.col("pages").alias("of"))
+    template = counted.join(hosts, "host").filter(F.col("pages") >= SHARE * F.col("of")).select("host", "hash")
     # A host's roots are one key, which is dealt to _DEALT parts.
-    dealt = nodes.withColumn("part", F.when(F.col("node") == _COUNTED, F.pmod("page", F.lit(_DEALT)).cast("int")).otherwise(0))
+    dealt = nodes.withColumn("part", F.when(F.col("node") == _COUNTED, F.pmod(F.xxhash64("page"), F.lit(_DEALT)).cast("int")).otherwise(0))
     template = template.withColumn("part", F.explode(F.when(F.col("hash") == 0, F.sequence(F.lit(0), F.lit(_DEALT - 1))).otherwise(F.array(F.lit(0)))))
     marks = dealt.join(template, ["host", "hash", "part"], "left_semi").groupBy("page").agg(F.collect_set("node").alias("gone"))
 
@@ -234,7 +259,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", min_pages: int = MIN_PAGE
                 texts = [main_text(parse(html), frozenset(gone or ())) for html, gone in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[id_col, "url", "text", "n_chars"])
 
-    return rows.join(marks, "page", "left").select(id_col, "url", "html", "gone").mapInArrow(text_of, f"`{id_col}` {kind}, url string, text string, n_chars long")
+    return rows.join(marks, "page", "left").select("id", "url", "html", "gone").mapInArrow(text_of, f"`{id_col}` {kind}, url string, text string, n_chars long")
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

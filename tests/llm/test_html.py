@@ -43,3 +43,45 @@ def test_text_outside_of_articles_is_judged_by_the_counts(spark):
     by = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert by[3] == "Own 3\nSecond part 3" and by[200] == "m\no"
     assert by[103] == "Box of the site\nOwn 3"
+
+
+def test_a_wrapper_of_most_of_the_page_is_no_boilerplate():
+    assert text("<body><div class='layout has-sidebar'><article><p>Long words of the article</p></article></div><p>x</p></body>") == "Long words of the article"
+    assert text("<form><main><p>Long words of the page</p></main></form>") == "Long words of the page"
+    assert text("<article><p>Long words of the article</p></article><div class='related'><article>card</article></div>") == "Long words of the article"
+    assert text("<aside><article><p>Long words of an aside</p></article></aside><p>own</p>") == "own"
+
+
+def test_counts_equal_plain_counting(spark):
+    import random
+    from collections import Counter, defaultdict
+
+    rng = random.Random(5)
+    blocks = [f"<div class='b{k}'><p>Block {k}</p></div>" for k in range(12)]
+    rows = []
+    for k in range(900):
+        host = "big" if k < 850 else "mid" if k < 880 else "small" if k < 885 else "twin"
+        body = "".join(b for i, b in enumerate(blocks) if rng.random() < (0.5, 0.2, 0.02, 0.009)[i % 4])
+        rows.append((k, f"https://{host}.example/{k}", f"<body>{body}<article><p>Own {0 if host == 'twin' else k}</p></article></body>"))
+    pages, seen = defaultdict(set), defaultdict(set)
+    for _, url, page in rows:
+        host = url.split("/")[2]
+        pages[host].add(page)
+        for _, h in html.subtrees(html.parse(page)):
+            seen[host, h].add(page)
+    counts = Counter({k: len(v) for k, v in seen.items()})
+
+    def want(url, page):
+        host, root = url.split("/")[2], html.parse(page)
+        n = len(pages[host])
+        gone = {at for at, h in html.subtrees(root) if counts[host, h] >= max(html.MIN_PAGES, html.SHARE * n)}
+        return html.main_text(root, frozenset(gone | ({0} if n >= html.MIN_PAGES else set())))
+
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: want(url, page) for k, url, page in rows}
+    assert len({c for (h, _), c in counts.items() if h == "big.example" and html.MIN_PAGES <= c < html.SHARE * 850 + 1}) > 0
+
+
+def test_clashing_names(spark):
+    clash = spark.createDataFrame([(1, "https://h.example/", "<p>a</p>", "x", 5)], "host long, url string, html string, page string, gone int")
+    assert [(r.host, r.url, r.text) for r in html.extract(clash, "host").collect()] == [(1, "https://h.example/", "a")]
