@@ -58,12 +58,16 @@ def mask_text(segs: str) -> Column:
     return F.array_join(F.transform(F.col(segs), lambda s: F.when(s.learn, "1").otherwise("0")), "")
 
 
+def paired(conversations: DataFrame) -> DataFrame:
+    """The turns of conversations 2k and 2k + 1 as the sides of pair k; shifts of bits, as a quotient of doubles would mix up large ids."""
+    side = F.when(F.col("conv_id").bitwiseAND(1) == 0, "chosen").otherwise("rejected")
+    return conversations.select(F.shiftright("conv_id", 1).alias("pair_id"), side.alias("side"), "turn", "role", "text")
+
+
 def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table names no preferences: conversation 2k is taken as chosen, 2k + 1 as rejected, of pair k."""
+    """The table names no preferences: conversation 2k is taken as chosen, 2k + 1 as rejected, of pair k (for any long k)."""
     c = table(spark, sf_dir, "conversations")
-    pair = F.floor(F.col("conv_id") / 2).cast("long")
-    turns = c.select(pair.alias("pair_id"), F.when(F.pmod("conv_id", F.lit(2)) == 0, "chosen").otherwise("rejected").alias("side"), "turn", "role", "text")
-    return preference_format(turns).withColumns({"chosen_mask": mask_text("chosen_segments"), "rejected_mask": mask_text("rejected_segments")}).drop("chosen_segments", "rejected_segments")
+    return preference_format(paired(c)).withColumns({"chosen_mask": mask_text("chosen_segments"), "rejected_mask": mask_text("rejected_segments")}).drop("chosen_segments", "rejected_segments")
 
 
 OP10_SQL = """

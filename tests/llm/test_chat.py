@@ -53,3 +53,11 @@ def test_against_sql(spark):
     a, b = chat.op10_preference_format(spark, d).toPandas(), con.sql(chat.OP10_SQL).df()
     cols = sorted(a.columns)
     assert sorted(a[cols].values.tolist()) == sorted(b[cols].values.tolist())
+
+
+def test_pairs_of_large_and_negative_ids(spark):
+    big = 2**60
+    ids = [big, big + 1, big + 2, big + 3, -2, -1, None]
+    rows = spark.createDataFrame([(i, 0, "user", str(i)) for i in ids], "conv_id long, turn int, role string, text string")
+    found = {(r.pair_id, r.side, r.text) for r in chat.paired(rows).collect()}
+    assert found == {(big // 2, "chosen", str(big)), (big // 2, "rejected", str(big + 1)), (big // 2 + 1, "chosen", str(big + 2)), (big // 2 + 1, "rejected", str(big + 3)), (-1, "chosen", "-2"), (-1, "rejected", "-1"), (None, "rejected", "None")}
