@@ -35,6 +35,8 @@ BANDS, ROWS = 24, 4
 SIGNATURE = BANDS * ROWS
 #: Shingles of one block in the full comparison of a bucket.
 BLOCK_SHINGLES = 1 << 18
+#: Elements whose permutations are held at a time (about 150 bytes each).
+CHUNK = 1 << 18
 #: Classes of a bucket that are verified against one copy of their centre's set, and parts that a bucket's rows are dealt to.
 PART, SALTS = 1024, 8
 #: Ids that are sent to every task at most (about 30 bytes each).
@@ -82,6 +84,8 @@ def superminhash(hashes: np.ndarray, owner: np.ndarray, n: int, m: int = SIGNATU
     In step j each element draws a number in [j, j + 1) for the j-th place of its own random permutation, made by swaps. A set
     is finished at step j when its largest value is below j, as no later draw can lower any value.
     """
+    if len(hashes) > CHUNK:  # a very long text: signatures of parts, of which the least values are those of the whole
+        return np.minimum.reduce([superminhash(hashes[i:i + CHUNK], owner[i:i + CHUNK], n, m) for i in range(0, len(hashes), CHUNK)])
     sig = np.full(n * m, np.inf)
     places = np.tile(np.arange(m, dtype=np.uint8 if m <= 256 else np.int32), (len(hashes), 1))
     base, state, rows = owner * m, hashes, np.arange(len(hashes))

@@ -99,6 +99,10 @@ def test_signatures_estimate_similarity():
     h, d = np.concatenate([a, b]), np.repeat([0, 1], 400)
     sig = dedup.superminhash(h, d, 2, 256)
     assert abs((sig[0] == sig[1]).mean() - 0.6) < 0.1
+    from unittest import mock
+
+    with mock.patch.object(dedup, "CHUNK", 100):
+        assert (dedup.superminhash(h, d, 2, 256) == sig).all()
     one = dedup.superminhash(h[:3], d[:3], 1, 16)
     assert np.isfinite(one).all() and len(np.unique(np.floor(one))) > 1
 
