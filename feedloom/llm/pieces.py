@@ -30,8 +30,10 @@ from feedloom.llm.common import blocks, splitmix, table
 MODEL = os.environ.get("FEEDLOOM_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 SHARPNESS = 1.0
 SEED = 1
-#: Nodes of lattices that a worker keeps (about 60 bytes each).
-STORED_NODES = 600_000
+#: Nodes of lattices that a worker keeps (about 50 bytes each, with their segments).
+STORED_NODES = 800_000
+#: Characters whose lattices are made at a time (a single longer segment is made alone).
+BUILT_CHARS = 1 << 16
 
 _U = np.uint64
 _MARK = "\u2581"
@@ -72,7 +74,7 @@ class Pieces:
             at = np.flatnonzero(sizes == k)
             codes = np.frombuffer("".join(self.text[normal[i]] for i in at).encode("utf-32-le"), np.uint32)
             hashes[at] = fold(mix_chars(codes).reshape(-1, k))
-        self.bits = 20
+        self.bits = 19
         slot = (hashes >> _U(64 - self.bits)).astype(np.int64)
         self.keys, self.ids = np.zeros((1 << self.bits) + 64, np.uint64), np.full((1 << self.bits) + 64, -1, np.int32)
         self.probes = 1
@@ -130,8 +132,8 @@ def extend(h: np.ndarray, chars: np.ndarray) -> np.ndarray:
 class Lattice:
     """The lattices of some distinct segments: nodes 0..n of each, with the edges into each node and their shares.
 
-    starts has the number of the first edge into each node (and one more entry), upto the share of a node's edges up to each of them. Both are
-    sums within a node, so that a segment's values are the same in whatever company it is.
+    starts has the number of the first edge into each node (and one more entry), back the characters of each edge, upto the share of a node's
+    edges up to each of them, to 24 bits. Shares are sums within a node, so that a segment's values are the same in whatever company it is.
     """
 
     def __init__(self, pieces: Pieces, segments: list[str]):
@@ -188,11 +190,12 @@ class Lattice:
             value = mass[src[edges]] + weight[edges]
             top = np.maximum.reduceat(value, offset)
             mass[nodes] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, n)), offset))
-        self.src, self.ids, self.upto = src.astype(np.int32), ids.astype(np.int32), np.exp(mass[src] + weight - mass[dst])
+        self.back, self.ids, upto = (dst - src).astype(np.uint8), ids.astype(np.int32), np.exp(mass[src] + weight - mass[dst])
         rank = np.arange(len(dst)) - self.starts[dst]
         for r in range(1, int(degree.max(initial=0))):
             at = np.flatnonzero(rank == r)
-            self.upto[at] += self.upto[at - 1]
+            upto[at] += upto[at - 1]
+        self.upto = upto.astype(np.float32)
 
 
 class Store:
@@ -206,7 +209,7 @@ class Store:
         self.number: dict[str, int] = {}
         self.nodes = self.edges = 0
         self.first, self.last, self.starts = np.empty(0, np.int32), np.empty(0, np.int32), np.zeros(1, np.int32)
-        self.src, self.ids, self.upto = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0)
+        self.back, self.ids, self.upto = np.empty(0, np.uint8), np.empty(0, np.int32), np.empty(0, np.float32)
 
     @staticmethod
     def _put(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
@@ -217,19 +220,28 @@ class Store:
 
     def rows(self, segments: list[str]) -> np.ndarray:
         """The numbers of segments; those not met so far are added."""
-        new = [s for s in dict.fromkeys(segments) if s not in self.number]
-        if new:
+        look = lambda: np.fromiter(map(self.number.get, segments, itertools.repeat(-1)), np.int64, len(segments))
+        found = look()
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
             if self.nodes > self.most:
                 self.clear()
-                new = list(dict.fromkeys(segments))
-            made, n = Lattice(self.pieces, new), len(self.number)
-            self.number.update(zip(new, range(n, n + len(new)), strict=True))
-            self.first, self.last = self._put(self.first, n, made.first + self.nodes), self._put(self.last, n, made.last + self.nodes)
-            self.starts = self._put(self.starts, self.nodes, made.starts + self.edges)
-            self.src = self._put(self.src, self.edges, made.src + self.nodes)
-            self.ids, self.upto = self._put(self.ids, self.edges, made.ids), self._put(self.upto, self.edges, made.upto)
-            self.nodes, self.edges = self.nodes + len(made.starts) - 1, self.edges + len(made.ids)
-        return np.fromiter(map(self.number.__getitem__, segments), np.int64, len(segments))
+                found, missing = look(), np.arange(len(segments))
+            new = list(dict.fromkeys(segments[i] for i in missing))
+            ends = np.cumsum([len(s) for s in new])
+            for part in np.split(np.arange(len(new)), np.flatnonzero(np.diff(ends // BUILT_CHARS)) + 1):
+                self._add(new[part[0]:part[-1] + 1])
+            found[missing] = [self.number[segments[i]] for i in missing]
+        return found
+
+    def _add(self, new: list[str]) -> None:
+        made, n = Lattice(self.pieces, new), len(self.number)
+        self.number.update(zip(new, range(n, n + len(new)), strict=True))
+        self.first, self.last = self._put(self.first, n, made.first + self.nodes), self._put(self.last, n, made.last + self.nodes)
+        self.starts = self._put(self.starts, self.nodes, made.starts + self.edges)
+        self.back = self._put(self.back, self.edges, made.back)
+        self.ids, self.upto = self._put(self.ids, self.edges, made.ids), self._put(self.upto, self.edges, made.upto)
+        self.nodes, self.edges = self.nodes + len(made.starts) - 1, self.edges + len(made.ids)
 
     def draw(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge into each node (none of them a first node), by uniform numbers below 1: the first whose share, with those before it, exceeds the number.
@@ -266,7 +278,7 @@ def sample(store: Store, keys: np.ndarray, texts: list[str], seed: int = SEED) -
         e = store.draw(nodes, (state >> _U(11)).astype(np.float64) * 2.0**-53)
         taken.append(store.ids[e])
         owners.append(live)
-        nodes = store.src[e].astype(np.int64)
+        nodes = nodes - store.back[e]
         go = nodes > first
         nodes, first, state, live = nodes[go], first[go], state[go], live[go]
     # Edges were drawn from the end: a segment's k-th draw is its k-th piece from behind.
@@ -302,7 +314,7 @@ def encode_sampled(docs: DataFrame, key_col: str = "doc_id", text_col: str = "te
     def run(batches):
         store = Store(pieces_of(model))
         for whole in batches:
-            for part in blocks(whole, 2):
+            for part in blocks(whole, 2, rows=192):
                 texts = part.column(2).to_pylist()
                 ids, counts = sample(store, part.column(1).to_numpy(), [t or "" for t in texts], seed)
                 ends = np.cumsum(counts)

@@ -52,7 +52,7 @@ STEM = 5
 FOLDS, FALSE, GAP = 3, 0.0002, 0.15
 THRESHOLD = 0.5
 #: Words whose scores a task keeps.
-CACHE = 300_000
+CACHE = 150_000
 
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 #: Signs that are taken off at both ends whatever stands there.
@@ -166,14 +166,22 @@ def _sums(numbers: np.ndarray, weight: np.ndarray, right: np.ndarray) -> np.ndar
     return total
 
 
-def kernel(words: list[str], right: np.ndarray) -> np.ndarray:
-    """The string kernel of words (the best of their windows) with those of features(): a row per word."""
+def kernel(words: list[str], right: np.ndarray, where: np.ndarray | None = None) -> np.ndarray:
+    """The string kernel of words (the best of their windows) with those of features(): a row per word. where: right is packed()."""
     out = np.zeros((len(words), right.shape[1]), np.float32)
     for rows, numbers, weight in by_length(words):
-        _best(out, rows, _sums(numbers, weight, right) / norms(numbers, weight)[:, None])
+        _best(out, rows, _sums(numbers if where is None else where[numbers], weight, right) / norms(numbers, weight)[:, None])
     return out
 
 
+def packed(dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of features() that are not empty, after an empty one, and where each subsequence has its row."""
+    rows = np.flatnonzero(dense.any(axis=1))
+    where = np.zeros(len(dense), np.int32)
+    where[rows] = np.arange(1, len(rows) + 1)
+    return np.concatenate([np.zeros((1, dense.shape[1]), dense.dtype), dense[rows]]), where
+
+
 def bound(words: list[str], most: np.ndarray) -> np.ndarray:
     """What the string kernel of words with the landmarks behind envelope() cannot exceed. A norm is at least that of a window without repeats."""
     out = np.zeros(len(words), np.float32)
@@ -212,13 +220,13 @@ class Model:
         n = len(self.group)
         if self.tables is None:
             dense = features(self.landmarks)
-            self.tables = dense, envelope(dense[:, :n], self.group)
-        dense, most = self.tables
+            self.tables = *packed(dense), envelope(dense[:, :n], self.group)
+        dense, where, most = self.tables
         out = np.array([self.low if len(f) > 1 else -10.0 for f in folded])
         near = np.flatnonzero(bound(folded, most) >= NEAR)
         for k in range(0, len(near), 2048):
             at = near[k:k + 2048]
-            like = kernel([folded[i] for i in at], dense)
+            like = kernel([folded[i] for i in at], dense, where)
             out[at] = (np.exp(SHARPNESS * (like - 1)) * self.weights).sum(axis=1) + self.bias - self.cuts[self.group[like[:, :n].argmax(axis=1)]]
         return out
 

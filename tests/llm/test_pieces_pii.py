@@ -54,7 +54,7 @@ def test_draws_stay_within_their_node():
         for node in range(first + 1, last + 1):
             for u in (0.0, top):
                 e = int(store.draw(np.array([node]), np.array([u]))[0])
-                assert store.starts[node] <= e < store.starts[node + 1] and first <= store.src[e] < node
+                assert store.starts[node] <= e < store.starts[node + 1] and first <= node - store.back[e] < node
             assert store.draw(np.array([node]), np.array([top]))[0] == store.starts[node + 1] - 1
 
 
