@@ -126,6 +126,12 @@ def _runs() -> tuple[list[str], list[int]]:
     return sorted({digest(parts[0]) for parts in several}), sorted({len(parts) for parts in several})
 
 
+def _beginnings() -> str:
+    """The first three words of those first paragraphs, as a pattern over prepared texts."""
+    words = {tuple(canonical(text.split("\n\n")[0]).split(" ")[:3]) for _, text in KNOWN if "\n\n" in text}
+    return "|".join(sorted("[ \\n]+".join(w) for w in words))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per unit that is a known licence: id, unit ('document', 'paragraph', 'paragraphs' or 'line'), unit_no (of the first paragraph of a run), digest, license.
 
@@ -136,18 +142,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     firsts, counts = _runs()
     flat = lambda c: F.trim(F.regexp_replace(c, "[ \n]+", " "))
     md5 = lambda c: F.md5(c.cast("binary"))
-    unit = lambda kind, at, d: F.struct(F.lit(kind).alias("unit"), at.cast("long").alias("unit_no"), d.alias("digest"))
-    none = F.array().cast("array<struct<unit:string,unit_no:bigint,digest:string>>")
-    text = docs.select(F.col(id_col), _prepared(F.col(text_col)).alias("t")).filter("t IS NOT NULL")
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    text = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode(F.array(_prepared(F.col(text_col)))).alias("t"))  # made once
     many = F.instr("t", "\n") > 0
-    text = text.withColumn("ps", F.when(many, F.transform(F.split("t", "\n *\n"), flat)).otherwise(F.array().cast("array<string>")))
-    text = text.withColumn("ds", F.transform("ps", md5))
-    begins = F.filter(F.transform("ds", lambda d, i: F.when(d.isin(*firsts), i)), lambda i: i.isNotNull())
+    text = text.select("id", "t", *(F.when(many, F.split("t", sep)).otherwise(none("string")).alias(name) for name, sep in (("paragraphs", "\n *\n"), ("lines", "\n"))))
+    # Few texts have the words that a known text of several paragraphs begins with; only there are runs looked for.
+    text = text.withColumn("ps", F.when(F.col("t").rlike(_beginnings()), F.transform("paragraphs", flat)).otherwise(none("string")))
+    begins = F.filter(F.transform("ps", lambda p, i: F.when(md5(p).isin(*firsts), i)), lambda i: i.isNotNull())
     fits = lambda i, k: (i + k <= F.size("ps")) & ~((i == 0) & (k == F.size("ps")))
-    runs = F.transform(begins, lambda i: F.transform(F.filter(F.array(*map(F.lit, counts)), lambda k: fits(i, k)), lambda k: unit("paragraphs", i, md5(F.array_join(F.slice("ps", i + 1, k), " ")))))
-    lines = F.when(many, F.transform(F.split("t", "\n"), lambda x, i: unit("line", i, md5(flat(x))))).otherwise(none)
-    units = F.concat(F.array(unit("document", F.lit(0), md5(flat(F.col("t"))))), F.transform("ds", lambda d, i: unit("paragraph", i, d)), lines, F.flatten(runs))
-    found = text.select(id_col, F.explode(units).alias("u")).select(id_col, "u.unit", "u.unit_no", "u.digest")
+    run = lambda i, k: F.struct(i.cast("long").alias("no"), F.array_join(F.slice("ps", i + 1, k), " ").alias("part"))
+    runs = F.flatten(F.transform(begins, lambda i: F.transform(F.filter(F.array(*map(F.lit, counts)), lambda k: fits(i, k)), lambda k: run(i, k))))
+    text = text.withColumn("runs", F.when(F.size("ps") > 0, runs).otherwise(none("struct<no:bigint,part:string>")))
+    parts = text.select("id", F.size("paragraphs").alias("np"), (F.size("paragraphs") + F.size("lines")).alias("nl"), F.col("runs.no").alias("nos"), F.posexplode(F.concat(F.array("t"), "paragraphs", "lines", F.col("runs.part"))).alias("at", "part"))
+    at, np, nl = F.col("at"), F.col("np"), F.col("nl")
+    unit = F.when(at == 0, "document").when(at <= np, "paragraph").when(at <= nl, "line").otherwise("paragraphs")
+    unit_no = F.when(at == 0, 0).when(at <= np, at - 1).when(at <= nl, at - 1 - np).otherwise(F.get("nos", at - 1 - nl))
+    found = parts.select(F.col("id").alias(id_col), unit.alias("unit"), unit_no.cast("long").alias("unit_no"), md5(flat(F.col("part"))).alias("digest"))
     return found.join(F.broadcast(known), "digest").select(id_col, "unit", "unit_no", "digest", "license")
 
 
