@@ -85,6 +85,47 @@ def envelopes(rows: DataFrame, keys: list[str], generated: str, version: str) ->
     return packed.select(*keys, "count", F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"articles":['), body, F.lit("]}")).alias("document"))
 
 
+def category_documents(rows: DataFrame, langs: DataFrame, categories, n: int, generated: str, version: str) -> DataFrame:
+    """A document for every language and category (lang, category, count, document): the n newest rows, and an empty list where there are none."""
+    full = envelopes(category_feeds(rows, categories, n), ["lang", "category"], generated, version)
+    blank = F.to_json(F.struct(F.lit(version).alias("version"), "lang", "category", F.lit(generated).alias("generated"), F.lit(0).alias("count"), F.array().cast("array<string>").alias("articles")))
+    got = scaffold(langs, categories).join(full, ["lang", "category"], "left")
+    return got.select("lang", "category", F.coalesce("count", F.lit(0)).cast("long").alias("count"), F.coalesce("document", blank).alias("document"))
+
+
+def hours(micros: Column) -> Column:
+    """Hours to one decimal."""
+    return F.floor(micros / 3.6e8 + 0.5) / 10
+
+
+def snapshot_ages(states: DataFrame, now: Column, generated: str) -> DataFrame:
+    """Adds when a language's shown snapshot was made (this run's time if updated) and, for preserved ones, its age in hours; a time that can't be read has none."""
+    made = F.try_to_timestamp("generated")
+    age = F.when(F.col("state") == "preserved", hours(F.unix_micros(now) - F.unix_micros(made)))
+    return states.withColumns({"snapshot_generated": F.when(F.col("state") == "updated", F.lit(generated)).otherwise(F.col("generated")), "snapshot_age_hours": age})
+
+
+def hours_since_ok(status: DataFrame, now: Column) -> DataFrame:
+    """Adds the hours since a source last gave rows, null for never."""
+    return status.withColumn("hours_since_ok", hours(F.unix_micros(now) - F.unix_micros(F.try_to_timestamp("last_ok"))))
+
+
+def verdict(fetched: DataFrame, states: DataFrame) -> DataFrame:
+    """One row: whether the run is accepted, and the errors if not. A run without any fetched row, or without a language to show, is none."""
+    some = fetched.limit(1).agg((F.count("*") > 0).alias("some"))
+    shown = states.agg(F.count_if(F.col("state") != "unavailable").alias("shown"))
+    errors = F.array_compact(F.array(
+        F.when(~F.col("some"), F.lit("No articles were fetched from any source this run")),
+        F.when(F.col("shown") == 0, F.lit("No language has publishable or preserved content"))))
+    return some.join(F.broadcast(shown)).select((F.size(errors) == 0).alias("accepted"), errors.alias("errors"))
+
+
+def languages_ok(status: DataFrame, totals: DataFrame) -> DataFrame:
+    """Per language: sources that are ok, sources in all, rows."""
+    got = status.groupBy("lang").agg(F.count_if("ok").alias("ok"), F.count("*").alias("sources"))
+    return got.join(totals, "lang", "left").select("lang", "ok", "sources", F.coalesce("total", F.lit(0)).alias("total"))
+
+
 def thin(totals: DataFrame, share: float = 0.35) -> DataFrame:
     """Languages with less than a share of the largest total."""
     return totals.withColumn("largest", F.max("total").over(Window.partitionBy())).withColumn("thin", F.col("total") < share * F.col("largest"))

@@ -90,7 +90,8 @@ def ladder(candidates: DataFrame, window_hours: Column, min_useful: int = 3) ->
     """The connector that serves each source, and how it went.
 
     candidates: source_id, adapter, is_primary, fallback, n, freshest_hours (least verified age, null if none), rank. A usable primary serves; else the first
-    usable alternative in rank order; else the largest of primary and alternatives, the primary winning ties, then rank. A source has one row per connector.
+    usable alternative in rank order; else the largest of primary and alternatives, the primary winning ties, then rank. A source has one row per connector. An alternative that serves is named, also where it gave
+    too few rows to be ok.
     """
     usable = F.coalesce(F.col("freshest_hours") <= window_hours, F.lit(False)) & (F.col("n") > 0)
     rows = candidates.withColumn("usable", usable).filter(F.col("is_primary") | (F.coalesce("fallback", F.lit(True)) & (F.col("n") > 0)))
@@ -99,8 +100,9 @@ def ladder(candidates: DataFrame, window_hours: Column, min_useful: int = 3) ->
     order = F.struct(F.col("usable").cast("int").alias("u"), F.when(F.col("usable"), 0).otherwise(F.col("n")).alias("n"), (-place).alias("p"))
     best = rows.groupBy("source_id").agg(F.max_by(F.struct("adapter", "n", "usable", "is_primary"), order).alias("b"), F.max(F.when(F.col("is_primary"), F.col("adapter"))).alias("primary_adapter"))
     ok = F.when(F.col("b.n") == 0, False).when(F.col("b.is_primary"), F.col("b.usable")).otherwise(F.col("b.n") >= min_useful)
-    error = F.when(F.col("b.n") == 0, "0 articles").when(F.col("b.is_primary") & ~F.col("b.usable"), "stale/unverified only").when(~F.col("b.is_primary") & (F.col("b.n") < min_useful), "too few articles")
-    return best.select("source_id", "primary_adapter", F.col("b.adapter").alias("adapter"), F.col("b.n").alias("n"), ok.alias("ok"), error.alias("error"), F.when(~F.col("b.is_primary") & ok, F.col("b.adapter")).alias("used_fallback"))
+    few = F.concat(F.lit("primary blocked/stale; "), F.col("b.adapter"), F.lit(" returned only "), F.col("b.n").cast("string"), F.lit(" article(s)"))
+    error = F.when(F.col("b.n") == 0, "0 articles").when(F.col("b.is_primary") & ~F.col("b.usable"), "stale/unverified only").when(~F.col("b.is_primary") & (F.col("b.n") < min_useful), few)
+    return best.select("source_id", "primary_adapter", F.col("b.adapter").alias("adapter"), F.col("b.n").alias("n"), ok.alias("ok"), error.alias("error"), F.when(~F.col("b.is_primary"), F.col("b.adapter")).alias("used_fallback"))
 
 
 def best_adapter(results: DataFrame) -> DataFrame:

@@ -90,11 +90,16 @@ def u8_host_rollup(spark, sf_dir):
 _COLLAPSED = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
 
 
-@query(f"""WITH c AS (SELECT doc_id, {_COLLAPSED} AS t FROM documents)
-SELECT doc_id, CASE WHEN length(t) <= 220 THEN t ELSE rtrim(regexp_replace(substr(t, 1, 220), ' [^ ]*$', ''), '.,;:') || chr(8230) END AS excerpt FROM c WHERE NOT regexp_matches(t, '[<&]')""")
+_BARE = "regexp_replace(regexp_replace(text, '(?s)<!--.*?-->', ' ', 'g'), '<[A-Za-z/!][^>]*>', ' ', 'g')"
+for _name, _sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+    _BARE = f"replace({_BARE}, '&{_name};', '{_sign}')"
+
+
+@query(f"""WITH c AS (SELECT doc_id, nullif(trim(regexp_replace({_BARE}, '\\s+', ' ', 'g')), '') AS t FROM documents)
+SELECT doc_id, CASE WHEN length(t) <= 220 THEN t ELSE rtrim(regexp_replace(substr(t, 1, 220), ' [^ ]*$', ''), '.,;:') || chr(8230) END AS excerpt FROM c""")
 def t1_excerpt_220(spark, sf_dir):
-    """Plain texts (those without markup have one exact answer in SQL)."""
-    return read(spark, sf_dir, "documents").filter(~F.col("text").rlike("[<&]")).select("doc_id", text.clean(F.col("text")).alias("excerpt"))
+    """Every document; the tables' texts hold stray signs but no menus or scripts, which the SQL would not take off."""
+    return read(spark, sf_dir, "documents").select("doc_id", text.clean(F.col("text")).alias("excerpt"))
 
 
 @query("SELECT doc_id, lower(source) || ' & more' AS term FROM documents")
@@ -464,6 +469,8 @@ def st3_stream_merge(spark, sf_dir):
 
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         import tempfile
 
         base = tempfile.mkdtemp(prefix="feedloom-")
@@ -552,14 +559,14 @@ def g11_unresolved_links(spark, sf_dir):
 
 @query(with_articles("SELECT seq, row_number() OVER (ORDER BY published_iso DESC, seq) AS place FROM a"))
 def o1_feed_order(spark, sf_dir):
-    """Text order of ISO times, newest first, ties by arrival: the whole order, by range partitions and counts before each."""
+    """Text order of ISO times, newest first, ties by arrival: the whole order, by places within a minute and counts of the minutes before it."""
     from pyspark.sql import Window
 
-    rows = articles(spark, sf_dir).select("seq", "published_iso").repartitionByRange(F.desc("published_iso"), F.asc("seq")).sortWithinPartitions(F.desc("published_iso"), F.asc("seq"))
-    rows = rows.withColumns({"part": F.spark_partition_id(), "in_part": F.monotonically_increasing_id()})
-    counts = rows.groupBy("part").agg(F.count("*").alias("n"), F.min("in_part").alias("least"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return rows.join(before, "part").select("seq", (F.col("before") + F.col("in_part") - F.col("least") + 1).alias("place"))
+    rows = articles(spark, sf_dir).select("seq", "published_iso", F.substring("published_iso", 1, 16).alias("minute"))
+    newer = Window.orderBy(F.desc("minute")).rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("minute").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(newer), F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy("minute").orderBy(F.desc("published_iso"), F.asc("seq")))
+    return rows.withColumn("k", inside).join(before, "minute").select("seq", (F.col("before") + F.col("k")).alias("place"))
 
 
 @query(with_articles("SELECT o.seq, least(o.published_iso, coalesce(min(p.published_iso), o.published_iso), min(q.published_iso)) AS collected_iso FROM a o LEFT JOIN a p ON p.id = o.id AND p.seq % 2 = 0 JOIN a q ON q.id = o.id AND q.seq % 2 = 1 WHERE o.seq % 2 = 1 GROUP BY o.seq, o.published_iso"))
@@ -592,3 +599,81 @@ def sk7_preserved_documents(spark, sf_dir):
     old = spark.createDataFrame([("fr", None, "then", "old"), ("fr", "sports", "then", "old sports"), ("en", None, "then", "older")], "lang string, category string, generated string, document string")
     kept = spark.createDataFrame([("fr",), ("de",)], "lang string")
     return report.preserved(new, old, kept, ["sports", "tech"], "v1")
+
+
+_ALL_CATEGORIES = ", ".join(f"'{c}'" for c in CATEGORIES)
+
+
+@query(with_merged(f"""SELECT l.lang, c.category, count(f.id) AS count, coalesce(string_agg(f.id, ',' ORDER BY f.rank), '') AS ids
+FROM (SELECT DISTINCT lang FROM m UNION SELECT 'xx') l CROSS JOIN (SELECT unnest([{_ALL_CATEGORIES}]) AS category) c
+LEFT JOIN (SELECT lang, category, id, row_number() OVER (PARTITION BY lang, category ORDER BY published_iso DESC, first_seq) AS rank FROM m) f ON f.lang = l.lang AND f.category = c.category AND f.rank <= 150
+GROUP BY 1, 2"""))
+def sk4_category_documents(spark, sf_dir):
+    """The documents of all categories, empty ones included, read back; a language without any article has them too."""
+    merged = dedupe.merge_by_id(articles(spark, sf_dir))
+    langs = merged.select("lang").distinct().union(spark.createDataFrame([("xx",)], "lang string"))
+    docs = report.category_documents(merged, langs, CATEGORIES, 150, "now", "v1")
+    back = F.from_json("document", "lang STRING, category STRING, count BIGINT, articles ARRAY<STRUCT<id: STRING>>")
+    return docs.select(back.alias("d")).select("d.lang", "d.category", "d.count", F.array_join(F.transform("d.articles", lambda a: a["id"]), ",").alias("ids"))
+
+
+_VERDICTS = """SELECT k.case, n > 0 AND shown > 0 AS accepted, array_to_string(list_filter([CASE WHEN n = 0 THEN 'No articles were fetched from any source this run' END, CASE WHEN shown = 0 THEN 'No language has publishable or preserved content' END], lambda x: x IS NOT NULL), ';') AS errors
+FROM (SELECT 'day' AS case, (SELECT count(*) FROM a) AS n, (SELECT count(DISTINCT lang) FROM a) AS shown UNION ALL SELECT 'outage', 0, (SELECT count(DISTINCT lang) FROM a)
+UNION ALL SELECT 'weak', (SELECT count(*) FROM a), 0 UNION ALL SELECT 'nothing', 0, 0) k"""
+
+
+@query(with_articles(_VERDICTS))
+def g12_run_acceptance(spark, sf_dir):
+    """A day with rows, one without any fetched row, one with all languages below the bar and no snapshot, and one with both."""
+    rows = articles(spark, sf_dir).withColumn("collected_at", F.lit(None).cast("timestamp"))
+    previous, none = rows.select("lang").distinct().withColumn("generated", F.lit("2024-01-01T00:00:00Z")), rows.limit(0)
+    kept = report.states(report.gate(rows, run_ts(spark, sf_dir), 1e5, 200, 1), previous)
+    weak = report.states(report.gate(rows, run_ts(spark, sf_dir), 1e5, 1 << 30, 1), previous.limit(0))
+    cases = {"day": (rows, kept), "outage": (none, kept), "weak": (rows, weak), "nothing": (none, weak)}
+    parts = [report.verdict(fetched, states).select(F.lit(name).alias("case"), "accepted", F.array_join("errors", ";").alias("errors")) for name, (fetched, states) in cases.items()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@query(with_articles("""SELECT lang, state, CASE WHEN state = 'updated' THEN 'now' WHEN state = 'preserved' THEN made END AS snapshot_generated,
+  CASE WHEN state = 'preserved' THEN floor((epoch_us(now) - epoch_us(CAST(made AS TIMESTAMP))) / 360000000.0 + 0.5) / 10 END AS snapshot_age_hours
+FROM (SELECT lang, CASE WHEN lang <> 'es' THEN '2023-12-3' || (length(lang) - 2) || 'T07:11:00' END AS made, CASE WHEN count(*) >= 200 THEN 'updated' WHEN lang = 'es' THEN 'unavailable' ELSE 'preserved' END AS state FROM a GROUP BY lang), clock"""))
+def st5_snapshot_age(spark, sf_dir):
+    """When each language's snapshot was made, and the age of kept ones."""
+    rows = articles(spark, sf_dir).withColumn("collected_at", F.lit(None).cast("timestamp"))
+    made = F.concat(F.lit("2023-12-3"), (F.length("lang") - 2).cast("string"), F.lit("T07:11:00"))
+    previous = rows.select("lang").distinct().filter("lang <> 'es'").withColumn("generated", made)
+    states = report.states(report.gate(rows, run_ts(spark, sf_dir), 1e5, 200, 1), previous)
+    return report.snapshot_ages(states, run_ts(spark, sf_dir), "now").select("lang", "state", "snapshot_generated", "snapshot_age_hours")
+
+
+@query(f"WITH {_STATUS} SELECT source_id, floor((epoch_us(TIMESTAMP '2024-01-08 05:20:00') - epoch_us(CAST(replace(last_ok, 'Z', '') AS TIMESTAMP))) / 360000000.0 + 0.5) / 10 AS hours_since_ok FROM f")
+def st5_hours_since_ok(spark, sf_dir):
+    return report.hours_since_ok(_status(spark, sf_dir), F.to_timestamp(F.lit("2024-01-08T05:20:00Z"))).select("source_id", "hours_since_ok")
+
+
+@query(f"""WITH {_CANDIDATES}, r AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY usable DESC, CASE WHEN usable THEN 0 ELSE n END DESC, place) AS rk FROM k)
+SELECT source_id, (SELECT max(adapter) FROM k p WHERE p.is_primary AND p.source_id = r.source_id) AS primary_adapter, CASE WHEN is_primary THEN usable ELSE n >= 3 END AS ok,
+  CASE WHEN is_primary AND NOT usable THEN 'stale/unverified only' WHEN NOT is_primary AND n < 3 THEN 'primary blocked/stale; ' || adapter || ' returned only ' || n || ' article(s)' END AS error,
+  CASE WHEN NOT is_primary THEN adapter END AS used_fallback FROM r WHERE rk = 1""")
+def e5_ladder_result(spark, sf_dir):
+    """What the ladder reports of each source: whether it is ok, why not, and the alternative that served."""
+    return select.ladder(_candidates(spark, sf_dir), F.lit(100.0)).select("source_id", "primary_adapter", "ok", "error", "used_fallback")
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN url ELSE 'https://news.google.com/rss/articles/' || page_id END AS url FROM pages""")
+def sc15_resolved_links(spark, sf_dir):
+    """Search links of all pages; every fourth is resolved to its page, every fourth after that to a foreign host, which does not count."""
+    pages = read(spark, sf_dir, "pages")
+    link = F.concat(F.lit("https://news.google.com/rss/articles/"), F.col("page_id").cast("string"))
+    resolved = pages.filter("page_id % 4 < 2").select(link.alias("url"), F.when(F.col("page_id") % 4 == 0, F.col("url")).otherwise(F.lit("https://evil.example/x")).alias("resolved"))
+    from feedloom.sources.connectors import resolve_links
+
+    return resolve_links(pages.select("page_id", link.alias("url"), U.domain(F.col("url")).alias("source_domain")), resolved).select("page_id", "url")
+
+
+@query(with_articles("""SELECT s.lang, count(*) FILTER (WHERE n > 5) AS ok, count(*) AS sources, t.total FROM (SELECT lang, source_id, count(*) AS n FROM a GROUP BY ALL) s
+JOIN (SELECT lang, count(*) AS total FROM a GROUP BY lang) t USING (lang) GROUP BY s.lang, t.total"""))
+def g7_languages_ok(spark, sf_dir):
+    rows = articles(spark, sf_dir)
+    status = rows.groupBy("lang", "source_id").agg((F.count("*") > 5).alias("ok"))
+    return report.languages_ok(status, report.lang_totals(rows))

@@ -1,7 +1,8 @@
 """Landed payloads to article rows. A payload table holds what was fetched; no connector touches the network.
 
 Every connector takes (payloads, registry, now) and gives source_id, seq, url, title, published, published_iso, excerpt, image, category,
-date_estimated; rows without link, title, date or valid URL are left out. seq is the payload's number times a million plus the entry's.
+date_estimated; rows without link, title, date or valid URL are left out. seq is the payload's number times ENTRIES plus
+the entry's place in it.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ _WORDPRESS = """ARRAY<STRUCT<link: STRING, title: STRUCT<rendered: STRING>, exce
 _embedded: STRUCT<`wp:featuredmedia`: ARRAY<STRUCT<source_url: STRING>>, `wp:term`: ARRAY<ARRAY<STRUCT<taxonomy: STRING, name: STRING>>>>>>"""
 
 
+#: Entries that a payload may have.
+ENTRIES = 1 << 32
+
+
 def _sourced(payloads: DataFrame, registry: DataFrame, adapter: str) -> DataFrame:
     landed = payloads.filter((F.col("adapter") == adapter) & (F.col("status") == 200))
     return landed.join(registry.withColumnRenamed("id", "source_id").select("source_id", "site", "lang", "selectors"), "source_id")
@@ -41,7 +46,12 @@ def _limit(rows: DataFrame, n: Column | int) -> DataFrame:
 
 
 def _number(pos: str = "pos") -> Column:
-    return F.col("seq").cast("bigint") * 1_000_000 + F.col(pos)
+    return F.col("seq").cast("bigint") * ENTRIES + F.col(pos)
+
+
+def _payload(seq: str = "seq") -> Column:
+    """The payload's number in an entry's."""
+    return F.shiftright(seq, 32)
 
 
 def _absolute(link: Column) -> Column:
@@ -81,8 +91,9 @@ def bucketed(payloads: DataFrame, registry: DataFrame, now: Column, limit: int =
     is_wrapper = F.array_contains(F.json_object_keys("entry"), "postResponseDto")
     posts = F.when(is_wrapper, F.coalesce(F.from_json("entry", wrapped)["postResponseDto"], F.array().cast(f"ARRAY<{_POST}>>"))).otherwise(F.array(F.from_json("entry", f"{_POST}>")))
     rows = entries.select("source_id", "site", "seq", "at", "k", "bucket", F.posexplode(posts).alias("j", "p")).filter("p IS NOT NULL AND coalesce(p.status, 'publish') = 'publish'")
+    rows = rows.withColumn("pos", F.row_number().over(Window.partitionBy("source_id", "seq").orderBy("at", "k", "j")))
     image = U.encode_path(F.col("p.images.news_detail_image"))
-    rows = rows.withColumns({"seq": F.col("seq").cast("bigint") * 1_000_000 + F.col("at") * 10_000 + F.col("k") * 100 + F.col("j"), "title": text.clean(F.col("p.title.rendered"), 300), "excerpt": text.clean(F.col("p.excerpt.rendered")), "image": F.when(U.valid(image), image), "category": F.try_element_at(literal_map(list(BUCKET_CATEGORIES.items())), F.col("bucket"))})
+    rows = rows.withColumns({"seq": _number(), "title": text.clean(F.col("p.title.rendered"), 300), "excerpt": text.clean(F.col("p.excerpt.rendered")), "image": F.when(U.valid(image), image), "category": F.try_element_at(literal_map(list(BUCKET_CATEGORIES.items())), F.col("bucket"))})
     found = _articles(rows, U.canonical(U.encode_path(U.join(F.col("site"), F.col("p.post_url")))), dates.to_instant(F.col("p.date_gmt"), now, "UTC"))
     first = found.withColumn("_k", F.row_number().over(Window.partitionBy("source_id", "url").orderBy("seq"))).filter("_k = 1").drop("_k")
     return _limit(first, limit)
@@ -94,7 +105,7 @@ def sitemap(payloads: DataFrame, registry: DataFrame, now: Column, limit: int =
     news = F.col("e.`news:news`")
     rows = rows.withColumns({"seq": _number(), "title": F.trim(news["news:title"]), "excerpt": F.lit(None).cast("string"), "image": F.lit(None).cast("string"), "category": F.lit(None).cast("string")})
     when = F.coalesce(dates.to_instant(news["news:publication_date"], now), dates.to_instant(F.col("e.lastmod"), now))
-    found = _articles(rows.withColumn("title", F.when(F.col("title") != "", F.col("title"))), _absolute(F.col("e.loc")), when).withColumn("batch", F.floor(F.col("seq") / 1_000_000))
+    found = _articles(rows.withColumn("title", F.when(F.col("title") != "", F.col("title"))), _absolute(F.col("e.loc")), when).withColumn("batch", _payload())
     ages = found.groupBy("source_id", "batch").agg(F.min(F.unix_micros(now) - F.unix_micros("published")).alias("age"))
     fresh = F.col("age") <= int(window_hours * 3.6e9)
     chosen = ages.groupBy("source_id").agg(F.min_by("batch", F.struct((~fresh).cast("int"), F.when(fresh, F.col("batch")).otherwise(F.col("age")), F.col("batch"))).alias("batch"))
@@ -122,7 +133,7 @@ def sitemap_candidates(robots: DataFrame) -> DataFrame:
 def html(payloads: DataFrame, registry: DataFrame, now: Column, limit: int = 40) -> DataFrame:
     """Listing pages by CSS selectors: the first limit * 3 items, the first of a URL wins, a missing date is now and estimated."""
     rows = _sourced(payloads, registry, "html")
-    items = pages.listing_items(rows).withColumn("seq", F.col("page_seq").cast("bigint") * 1_000_000 + F.col("pos"))
+    items = pages.listing_items(rows).withColumn("seq", F.col("page_seq").cast("bigint") * ENTRIES + F.col("pos"))
     items = _limit(items, limit * 3).join(rows.select("source_id", "site").distinct(), "source_id")
     read = dates.to_instant(F.col("date_text"), now)
     items = items.withColumns({"title": text.clean(F.col("title"), 300), "image": F.when(F.col("image") != "", U.join(F.col("site"), F.col("image"))), "excerpt": F.lit(None).cast("string"), "category": F.lit(None).cast("string"), "_url": _absolute(F.col("href")), "_read": read}).filter("_url IS NOT NULL")
@@ -134,7 +145,7 @@ def search(payloads: DataFrame, registry: DataFrame, now: Column, limit: int = 4
     """Search feeds, one payload per query variant in order: the variant with most fresh rows, then most rows, serves; variants after a good enough one don't count."""
     rows = _sourced(payloads, registry, "google").select("source_id", "site", "seq", F.posexplode(F.slice(F.from_xml("body", _RSS)["channel"]["item"], 1, limit)).alias("pos", "e"))
     rows = rows.withColumns({"seq": _number(), "title": text.without_publisher(F.trim("e.title")), "excerpt": F.lit(None).cast("string"), "image": F.lit(None).cast("string"), "category": F.lit(None).cast("string")}).filter(U.is_search_link(F.trim("e.link")))
-    found = _articles(rows, F.trim("e.link"), dates.to_instant(F.col("e.pubDate"), now)).withColumn("variant", F.floor(F.col("seq") / 1_000_000))
+    found = _articles(rows, F.trim("e.link"), dates.to_instant(F.col("e.pubDate"), now)).withColumn("variant", _payload())
     fresh = F.unix_micros(now) - F.unix_micros("published") <= int(window_hours * 3.6e9)
     scores = found.groupBy("source_id", "variant").agg(F.count_if(fresh).alias("fresh"), F.count("*").alias("n"))
     good = F.col("fresh") >= min(limit, 10)

@@ -105,30 +105,32 @@ def random_articles(seed, n=400):
     return out
 
 
-def fold(rows):
-    """Id-dedupe as a plain fold over rows in order."""
+def merged(rows):
+    """Id-dedupe by groups: the best row, the least dates where several rows or estimates ask for them, the category of the last best row that has one."""
     names = [f.split()[0] for f in SCHEMA.split(", ")]
-    best, first = {}, {}
-    q = lambda a: (not a["date_estimated"], not a["stale"], sum(bool(a[c]) for c in ("image", "excerpt", "category")))
-    for r in rows:
+    groups = {}
+    for r in sorted(rows):
         a = dict(zip(names, r, strict=True))
-        e = best.get(a["id"])
-        first.setdefault(a["id"], a["seq"])
-        if e:
-            e["collected_iso"] = a["collected_iso"] = min(e["collected_iso"] or e["published_iso"], a["collected_iso"] or a["published_iso"])
-            if e["date_estimated"] and a["date_estimated"]:
-                e["published_iso"] = a["published_iso"] = min(e["published_iso"], a["published_iso"])
-            a["category"], e["category"] = a["category"] or e["category"], e["category"] or a["category"]
-        if e is None or q(a) > q(e):
-            best[a["id"]] = a
-    return {i: (a["seq"], a["category"] or None, a["published_iso"], a["collected_iso"], first[i]) for i, a in best.items()}
+        groups.setdefault(a["id"], []).append(a)
+    out = {}
+    for i, group in groups.items():
+        worth = [8 * (not a["date_estimated"]) + 4 * (not a["stale"]) + bool(a["image"]) + bool(a["excerpt"]) for a in group]
+        at = worth.index(max(worth))
+        leads = [k for k in range(len(group)) if all(worth[j] < worth[k] for j in range(k))]
+        own = [group[k]["category"] for k in leads if group[k]["category"]]
+        any_ = [a["category"] for a in group if a["category"]]
+        several, best = len(group) > 1, group[at]
+        published = min(a["published_iso"] for a in group) if several and best["date_estimated"] else best["published_iso"]
+        sight = min(a["collected_iso"] or a["published_iso"] for a in group) if several else best["collected_iso"]
+        out[i] = (best["seq"], own[-1] if own else any_[0] if any_ else None, published, sight, group[0]["seq"])
+    return out
 
 
 def test_merge_by_id_is_the_fold(spark):
     for seed in (1, 2, 3):
         rows = random_articles(seed)
         out = dedupe.merge_by_id(spark.createDataFrame(rows, SCHEMA)).collect()
-        assert {r.id: (r.seq, r.category, r.published_iso, r.collected_iso, r.first_seq) for r in out} == fold(rows)
+        assert {r.id: (r.seq, r.category, r.published_iso, r.collected_iso, r.first_seq) for r in out} == merged(rows)
 
 
 def test_near_titles_is_the_walk(spark):
@@ -157,7 +159,7 @@ def test_ladder(spark):
     ]
     df = spark.createDataFrame([(*r[:3], True, *r[3:]) for r in rows], "source_id string, adapter string, is_primary boolean, fallback boolean, n long, freshest_hours double").withColumn("rank", select.rank(F.col("adapter")))
     got = {r.source_id: (r.adapter, r.ok, r.error, r.used_fallback) for r in select.ladder(df, F.lit(48.0)).collect()}
-    assert got == {"a": ("rss", True, None, None), "b": ("sitemap", False, "too few articles", None), "c": ("rss", False, "stale/unverified only", None), "d": ("html", False, "too few articles", None), "e": ("rss", False, "0 articles", None), "f": ("html", True, None, "html")}
+    assert got == {"a": ("rss", True, None, None), "b": ("sitemap", False, "primary blocked/stale; sitemap returned only 1 article(s)", "sitemap"), "c": ("rss", False, "stale/unverified only", None), "d": ("html", False, "primary blocked/stale; html returned only 2 article(s)", "html"), "e": ("rss", False, "0 articles", None), "f": ("html", True, None, "html")}
 
 
 def test_envelope_and_publish(spark, tmp_path):
@@ -197,3 +199,20 @@ def test_run_drops_near_titles(spark, tmp_path):
     assert len(want) == 4
     found = run_language_feeds(spark, str(tmp_path)).collect()
     assert [r.id for r in sorted(found, key=lambda r: r.n)] == want and {r.lang for r in found} == {"en"}
+
+
+def test_stream_state_by_parts(spark, tmp_path):
+    """Micro-batches, one of them twice, late rows and an empty batch: the state merges to what one batch gives, and old folders go."""
+    from feedloom.streaming import merge
+
+    rows = random_articles(7)
+    root = str(tmp_path / "state")
+    frame = lambda part: spark.createDataFrame(part, SCHEMA)
+    for epoch, part in enumerate((rows[::3], rows[1::3], rows[1::3], [], rows[2::3][:1], rows[2::3])):
+        merge.upsert(frame(part), epoch, root)
+    got = {r.id: (r.seq, r.category, r.published_iso, r.collected_iso, r.first_seq) for r in merge.snapshot(spark, root).collect()}
+    assert got == merged(rows)
+    named = {p.split("/")[0] for p in merge._current(spark, root).values()}
+    assert len([d for d in (tmp_path / "state").iterdir() if d.name.startswith("state-")]) <= len(named) + 1
+    merge.upsert(frame(rows), 9, root, F.lit(NOW + timedelta(days=30)), 1)
+    assert set(merge._current(spark, root)) == set()

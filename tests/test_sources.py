@@ -56,3 +56,17 @@ def test_one_partition_per_host():
     ends = [{"source_id": s, "adapter": "rss", "url": f"https://{h}.example/{s}"} for s, h in (("1", "a"), ("2", "b"), ("3", "a"))]
     parts = fetch._Reader({"endpoints": json.dumps(ends)}).partitions()
     assert sorted(len(p.rows) for p in parts) == [1, 2]
+
+
+def test_posts_of_a_long_wrapper_keep_numbers_of_their_own(spark):
+    from pyspark.sql import functions as F
+
+    from feedloom.sources import connectors
+
+    post = lambda k: {"id": k, "status": "publish", "date_gmt": "2024-01-01T00:00:00", "title": {"rendered": f"Title {k}"}, "post_url": f"/p/{k}"}
+    body = json.dumps({"a": {"postResponseDto": [{"rowCount": 150, "postResponseDto": [post(k) for k in range(150)]}]}, "b": {"postResponseDto": [post(1000 + k) for k in range(150)]}})
+    rows = spark.createDataFrame([("s", "newsfirst", 1, 200, body), ("s", "newsfirst", 2, 200, json.dumps({"a": [post(5000)]}))], "source_id string, adapter string, seq int, status int, body string")
+    registry = spark.createDataFrame([("s", "https://a.example/", "en", None)], "id string, site string, lang string, selectors string")
+    out = connectors.bucketed(rows, registry, F.to_timestamp(F.lit("2024-01-02T00:00:00Z")), limit=400).orderBy("seq").collect()
+    assert len(out) == 301 and len({r.seq for r in out}) == 301
+    assert [r.url.rsplit("/", 1)[1] for r in out] == [str(k) for k in [*range(150), *range(1000, 1150), 5000]]
