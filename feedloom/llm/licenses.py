@@ -157,7 +157,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     at, np, nl = F.col("at"), F.col("np"), F.col("nl")
     unit = F.when(at == 0, "document").when(at <= np, "paragraph").when(at <= nl, "line").otherwise("paragraphs")
     unit_no = F.when(at == 0, 0).when(at <= np, at - 1).when(at <= nl, at - 1 - np).otherwise(F.get("nos", at - 1 - nl))
-    found = parts.select(F.col("id").alias(id_col), unit.alias("unit"), unit_no.cast("long").alias("unit_no"), md5(flat(F.col("part"))).alias("digest"))
+    found = parts.select(F.col("id").alias(id_col), unit.alias("unit"), unit_no.cast("long").alias("unit_no"), md5(F.when(at <= nl, flat(F.col("part"))).otherwise(F.col("part"))).alias("digest"))
     return found.join(F.broadcast(known), "digest").select(id_col, "unit", "unit_no", "digest", "license")
 
 
